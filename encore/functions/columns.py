@@ -33,9 +33,10 @@ def md5_bucket(cols: list, seed: int, buckets: int = 100) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint"), F.lit(buckets))
 
 
-def epoch_seconds(ts: Column) -> Column:
-    """Whole seconds since 1970 of a TIMESTAMP_NTZ, independent of session zone."""
-    return F.timestampdiff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
+def epoch_seconds(name: str) -> Column:
+    """Whole seconds since 1970 of the TIMESTAMP_NTZ column ``name``,
+    independent of the session time zone."""
+    return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)")
 
 
 def round_half_away(c: Column, digits: int | None) -> Column:

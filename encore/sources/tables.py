@@ -50,7 +50,7 @@ def base_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Click events ``(event_id, uid, mid, ts)``; ``ts`` in whole seconds."""
     return (_events_k(spark, sf_dir, "click")
-            .select("event_id", "uid", "mid", epoch_seconds(F.col("ts")).alias("ts")))
+            .select("event_id", "uid", "mid", epoch_seconds("ts").alias("ts")))
 
 
 def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +76,7 @@ def event_log_lines(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     stamp = F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss,SSS")
     k = F.get_json_object("props", "$.k")
-    click_msg = format_click_line(F.col("user_id"), k, epoch_seconds(F.col("ts")), prefix)
+    click_msg = format_click_line(F.col("user_id"), k, epoch_seconds("ts"), prefix)
     other_msg = F.concat_ws(" ", F.col("event_type"), F.col("user_id").cast("string"), k)
     msg = F.when(F.col("event_type") == "click", click_msg).otherwise(other_msg)
     return ev.select("event_id", F.concat(stamp, F.lit("  INFO --- "), msg).alias("value"))

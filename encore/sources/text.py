@@ -23,10 +23,11 @@ def _fields(value: Column, sep: str) -> Column:
     return F.split(body, re.escape(sep))
 
 
-def _finish(parsed: DataFrame, cols: list[str], mode: str) -> tuple[DataFrame, DataFrame]:
+def _finish(parsed: DataFrame, cols: list[str], mode: str,
+            keep: tuple = ()) -> tuple[DataFrame, DataFrame]:
     rows = parsed.where(F.col("_reason").isNull()).select(*cols)
     rejects = parsed.where(F.col("_reason").isNotNull()).select(
-        F.col("value").alias("line"), F.col("_reason").alias("reason"))
+        *keep, F.col("value").alias("line"), F.col("_reason").alias("reason"))
     if mode == "failfast":
         bad = rejects.limit(1).collect()
         if bad:
@@ -91,7 +92,7 @@ def parse_click_log(lines: DataFrame, prefix: str = DEFAULT.click_prefix,
         "value", *keep, uid.alias("uid"), mid.alias("mid"), ts.alias("ts"),
         F.when(~has, "no_prefix").when(F.size(f) < 3, "too_few_fields")
          .when(uid.isNull() | mid.isNull() | ts.isNull(), "not_an_int").alias("_reason"))
-    return _finish(parsed, [*keep, "uid", "mid", "ts"], mode)
+    return _finish(parsed, [*keep, "uid", "mid", "ts"], mode, keep)
 
 
 def read_interactions(spark: SparkSession, path: str, mode: str = "permissive"):
