@@ -223,9 +223,17 @@ def q_als_rmse(spark, d):
     return factors.model_rmse(factors.fit_factors(train), test)
 
 
+_GRIDS: dict = {}
+
+
 def q_als_grid(spark, d):
-    train, test = factors.train_test(zscored(spark, d))
-    return factors.grid_search(train, test)
+    # The grid result is a dozen rows; keep it for the session so the best
+    # pick below does not refit twelve models.
+    key = (spark.sparkContext.applicationId, d, DEFAULT.grid_ranks, DEFAULT.grid_regs)
+    if key not in _GRIDS:
+        train, test = factors.train_test(zscored(spark, d))
+        _GRIDS[key] = factors.grid_search(train, test).collect()
+    return spark.createDataFrame(_GRIDS[key], "rank int, reg double, rmse double")
 
 
 def q_als_grid_best(spark, d):
