@@ -25,9 +25,13 @@ def _fields(value: Column, sep: str) -> Column:
 
 def _finish(parsed: DataFrame, cols: list[str], mode: str,
             keep: tuple = ()) -> tuple[DataFrame, DataFrame]:
-    rows = parsed.where(F.col("_reason").isNull()).select(*cols)
-    rejects = parsed.where(F.col("_reason").isNotNull()).select(
-        *keep, F.col("value").alias("line"), F.col("_reason").alias("reason"))
+    # Each line yields zero or one record on each side (a flatMap, written as
+    # ``inline`` of an optional one-element array).  A plain ``where`` would be
+    # pushed below the parsing projection with every field re-derived in it.
+    ok = F.col("_reason").isNull()
+    rows = parsed.select(F.inline(F.when(ok, F.array(F.struct(*cols)))))
+    rejects = parsed.select(F.inline(F.when(~ok, F.array(F.struct(
+        *keep, F.col("value").alias("line"), F.col("_reason").alias("reason"))))))
     if mode == "failfast":
         bad = rejects.limit(1).collect()
         if bad:
@@ -35,18 +39,26 @@ def _finish(parsed: DataFrame, cols: list[str], mode: str,
     return rows, rejects
 
 
+def _split_once(lines: DataFrame, value: Column, sep: str, keep: tuple = ()) -> DataFrame:
+    # The field array gets its own projection so it is computed once per line
+    # (Catalyst keeps a non-cheap expression that is referenced many times).
+    return lines.select("value", *keep, _fields(value, sep).alias("_f"))
+
+
 def parse_interactions(lines: DataFrame, mode: str = "permissive") -> tuple[DataFrame, DataFrame]:
     """OP-01: ``uid,mid,weight`` -> ``(uid INT, mid INT, weight BIGINT)``.
 
     Fields beyond the third are ignored; fewer than three, or a field that is
     not a whole number, is a reject.
     """
-    f = _fields(F.col("value"), ",")
-    uid, mid, w = (strict_int(F.get(f, i)) for i in range(3))
-    parsed = lines.select(
-        "value", uid.alias("uid"), mid.alias("mid"), w.cast("bigint").alias("weight"),
-        F.when(F.size(f) < 3, "too_few_fields")
-         .when(uid.isNull() | mid.isNull() | w.isNull(), "not_an_int").alias("_reason"))
+    f = F.col("_f")
+    parsed = (_split_once(lines, F.col("value"), ",")
+              .select("value", "_f", *[strict_int(F.get(f, i)).alias(c)
+                                      for i, c in enumerate(("uid", "mid", "weight"))])
+              .select("value", "uid", "mid", F.col("weight").cast("bigint").alias("weight"),
+                      F.when(F.size(f) < 3, "too_few_fields")
+                       .when(F.col("uid").isNull() | F.col("mid").isNull()
+                             | F.col("weight").isNull(), "not_an_int").alias("_reason")))
     return _finish(parsed, ["uid", "mid", "weight"], mode)
 
 
@@ -55,13 +67,13 @@ def parse_catalog(lines: DataFrame, mode: str = "permissive") -> tuple[DataFrame
 
     Only positions 0-2 are read, so a name holding a comma is cut there (D5).
     """
-    f = _fields(F.col("value"), ",")
-    mid = strict_int(F.get(f, 0))
-    parsed = lines.select(
-        "value", mid.alias("mid"), F.trim(F.get(f, 1)).alias("name"),
-        F.trim(F.get(f, 2)).alias("url"),
-        F.when(F.size(f) < 3, "too_few_fields")
-         .when(mid.isNull(), "not_an_int").alias("_reason"))
+    f = F.col("_f")
+    parsed = (_split_once(lines, F.col("value"), ",")
+              .select("value", "_f", strict_int(F.get(f, 0)).alias("mid"),
+                      F.trim(F.get(f, 1)).alias("name"), F.trim(F.get(f, 2)).alias("url"))
+              .select("value", "mid", "name", "url",
+                      F.when(F.size(f) < 3, "too_few_fields")
+                       .when(F.col("mid").isNull(), "not_an_int").alias("_reason")))
     return _finish(parsed, ["mid", "name", "url"], mode)
 
 
@@ -84,14 +96,17 @@ def parse_click_log(lines: DataFrame, prefix: str = DEFAULT.click_prefix,
     Lines without the prefix are rejects (the shared log holds other lines).
     ``keep`` names extra input columns to carry through (e.g. an offset).
     """
-    has = F.instr(F.col("value"), prefix) > 0
     payload = F.trim(F.element_at(F.split(F.col("value"), re.escape(prefix)), -1))
-    f = _fields(payload, "|")
-    uid, mid, ts = strict_int(F.get(f, 0)), strict_int(F.get(f, 1)), strict_int(F.get(f, 2), "bigint")
-    parsed = lines.select(
-        "value", *keep, uid.alias("uid"), mid.alias("mid"), ts.alias("ts"),
-        F.when(~has, "no_prefix").when(F.size(f) < 3, "too_few_fields")
-         .when(uid.isNull() | mid.isNull() | ts.isNull(), "not_an_int").alias("_reason"))
+    f = F.col("_f")
+    parsed = (_split_once(lines, payload, "|", keep)
+              .select("value", *keep, "_f", strict_int(F.get(f, 0)).alias("uid"),
+                      strict_int(F.get(f, 1)).alias("mid"),
+                      strict_int(F.get(f, 2), "bigint").alias("ts"))
+              .select("value", *keep, "uid", "mid", "ts",
+                      F.when(F.instr(F.col("value"), prefix) == 0, "no_prefix")
+                       .when(F.size(f) < 3, "too_few_fields")
+                       .when(F.col("uid").isNull() | F.col("mid").isNull() | F.col("ts").isNull(),
+                             "not_an_int").alias("_reason")))
     return _finish(parsed, [*keep, "uid", "mid", "ts"], mode, keep)
 
 
