@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from encore.config import DEFAULT
 from encore.functions.sequence import sequence_within
+from encore.session import materialize as write_once
 
 CLICK_ORDER = ["ts", "event_id"]
 
@@ -98,14 +99,21 @@ def score_candidates(cands: DataFrame, recents: DataFrame, sims: DataFrame,
 
 
 def replay(clicks: DataFrame, sims: DataFrame, stored: DataFrame, knobs=DEFAULT,
-           only_latest: bool = False, round_digits: int | None = None) -> DataFrame:
+           only_latest: bool = False, round_digits: int | None = None,
+           materialize: bool = True) -> DataFrame:
     """OP-39: score every click as of itself (or only each user's last click).
 
     ``(event_id, uid, mid, score, rank)``: the list written for the user at
     that click.  A click with no candidates writes an empty list (D12): it has
     no rows here; ``latest_recs_nested`` keeps the empty list.
+
+    The sequenced clicks feed four branches (targets, recent lists, rated
+    set); with ``materialize`` they are checkpointed once to the shared
+    checkpoint folder, which also cuts the lineage a lost executor replays.
     """
     seq = sequence_clicks(clicks)
+    if materialize:
+        seq = write_once(seq)
     targets = latest_clicks(seq) if only_latest else seq
     recents = recent_rows(seq, knobs.recent_k, targets if only_latest else None)
     rated = rated_as_of(stored, seq)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from encore.config import DEFAULT
 from encore.operators import factors, normalize, realtime, serving, similarity
-from encore.session import scratch_path
+from encore.session import materialize, scratch_path
 from encore.sources import sinks, tables, text
 
 SIM_DIGITS = 6
@@ -32,8 +32,11 @@ def zscored(spark, d):
 
 
 def stream_sims(spark, d, k=DEFAULT):
-    return similarity.item_similarity(tables.item_vectors(spark, d), STREAM_SIM_THRESHOLD,
-                                      k.top_k_similar, round_digits=SIM_DIGITS)
+    # The offline job's output: written once (checkpoint folder) and then read
+    # by every branch that looks up candidates or similarities.
+    return materialize(similarity.item_similarity(tables.item_vectors(spark, d),
+                                                  STREAM_SIM_THRESHOLD, k.top_k_similar,
+                                                  round_digits=SIM_DIGITS))
 
 
 def all_click_recs(spark, d, k=DEFAULT):
@@ -145,7 +148,7 @@ def q_recent_clicks(spark, d):
 
 def q_click_candidates(spark, d):
     clicks = tables.clicks(spark, d)
-    seq = realtime.sequence_clicks(clicks)
+    seq = materialize(realtime.sequence_clicks(clicks))
     rated = realtime.rated_as_of(tables.base_ratings(spark, d), seq)
     c = realtime.click_candidates(seq, stream_sims(spark, d), rated)
     return c.select("event_id", "uid", F.col("cand").alias("mid"), "sim",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants, whatever the cluster size.
 BASE_CONF = {
@@ -24,7 +24,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """A local session for tests and the bench (the UI stays off)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "8g"))
+         .config("spark.driver.memory", "8g")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in {**BASE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -36,15 +37,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local tests) do we make one.
+    Order: a folder already set on the context, then ``spark.checkpoint.dir``
+    from the session.  Only when neither is set (local tests) do we make one.
     """
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="encore-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    sc.setCheckpointDir(d)
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used for intermediates that several branches of a plan read: computed
+    once, and a lost executor resumes from the files instead of replaying the
+    lineage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
