@@ -230,6 +230,7 @@ ORACLE = {
     "realtime_recs_all_clicks": _with("SELECT event_id, uid, mid, score, rank FROM scored",
                                       ["scored"]),
     "realtime_recs_latest": _with("SELECT uid, event_id, mid, score, rank FROM latest", ["latest"]),
+    "stream_recs_latest": _with("SELECT uid, mid, score, rank FROM latest", ["latest"]),
     "ratings_after_clicks": _with("SELECT uid, mid, weight FROM ratings_now", ["ratings_now"]),
     "enrich_items": _with(_enrich("(SELECT * FROM queue WHERE pos <= 20)"),
                           ["queue", "catalog", "ratings_now"]),

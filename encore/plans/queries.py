@@ -17,6 +17,7 @@ from encore.config import DEFAULT
 from encore.operators import factors, normalize, realtime, serving, similarity
 from encore.session import materialize, scratch_path
 from encore.sources import sinks, tables, text
+from encore.streaming import stream
 
 SIM_DIGITS = 6
 SCORE_DIGITS = 9
@@ -170,6 +171,26 @@ def q_realtime_recs_latest(spark, d):
     return latest_long(spark, d)
 
 
+def q_stream_recs_latest(spark, d):
+    """The Structured Streaming path end to end: the click log written as
+    text, consumed by the stream (keyed queue state + per-batch scoring),
+    then each user's current list read from the sink.  Must equal the batch
+    replay (``realtime_recs_latest``); stream click ids are synthetic, so
+    the comparison leaves ``event_id`` out."""
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    stream_sims(spark, d).write.parquet(f"{base}/sims")
+    tables.base_ratings(spark, d).write.parquet(f"{base}/stored")
+    (text.format_click_log(tables.clicks(spark, d)).select(F.col("line").alias("value"))
+     .write.text(f"{base}/in"))
+    q = stream.run_stream(spark, f"{base}/in", f"{base}/sims", f"{base}/stored", f"{base}/out",
+                          checkpoint=f"{base}/checkpoint", available_now=True,
+                          round_digits=SCORE_DIGITS)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return stream.latest_stream_recs(spark, f"{base}/out").select("uid", "mid", "score", "rank")
+
+
 def q_ratings_after_clicks(spark, d):
     return ratings_now(spark, d)
 
@@ -221,6 +242,14 @@ def q_als_item_factors(spark, d):
     return factors.item_factors(m)
 
 
+def q_als_similar_items(spark, d):
+    """The offline job as the original runs it: z-scores -> ALS (rank 100,
+    5 iterations, reg 0.1) -> item factors -> cosine > 0.4 -> top 100."""
+    m = factors.fit_factors(zscored(spark, d))
+    return similarity.item_similarity(factors.item_factors(m), DEFAULT.sim_threshold,
+                                      DEFAULT.top_k_similar)
+
+
 def q_als_rmse(spark, d):
     train, test = factors.train_test(zscored(spark, d))
     return factors.model_rmse(factors.fit_factors(train), test)
@@ -264,6 +293,7 @@ QUERIES = {
     "realtime_scores": q_realtime_scores,
     "realtime_recs_all_clicks": q_realtime_recs_all_clicks,
     "realtime_recs_latest": q_realtime_recs_latest,
+    "stream_recs_latest": q_stream_recs_latest,
     "ratings_after_clicks": q_ratings_after_clicks,
     "enrich_items": q_enrich_items,
     "user_history": q_user_history,
@@ -273,6 +303,7 @@ QUERIES = {
     "user_status": q_user_status,
     "user_dashboard": q_user_dashboard,
     "als_item_factors": q_als_item_factors,
+    "als_similar_items": q_als_similar_items,
     "als_rmse": q_als_rmse,
     "als_grid": q_als_grid,
     "als_grid_best": q_als_grid_best,

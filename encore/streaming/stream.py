@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from encore.config import DEFAULT
@@ -77,13 +78,15 @@ def with_queue_state(clicks: DataFrame, cap: int = DEFAULT.queue_cap,
 
 
 def _read_or_empty(spark, path, schema):
-    if os.path.isdir(path) and any(n.startswith("batch_id=") for n in os.listdir(path)):
-        return spark.read.parquet(path)
-    return spark.createDataFrame([], schema + ", batch_id long")
+    # Works on any file system Spark reads; nothing written yet -> no rows.
+    try:
+        return spark.read.schema(schema + ", batch_id long").parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema + ", batch_id long")
 
 
 def score_batch(batch: DataFrame, batch_id: int, sims_path: str, stored_path: str, out: str,
-                knobs=DEFAULT) -> None:
+                knobs=DEFAULT, round_digits: int | None = None) -> None:
     """Score one micro-batch and write it under ``out`` (idempotent per batch)."""
     spark = batch.sparkSession
     sims = spark.read.parquet(sims_path)                       # OP-40: current version
@@ -100,7 +103,7 @@ def score_batch(batch: DataFrame, batch_id: int, sims_path: str, stored_path: st
         rated = (base.unionByName(earlier.drop("batch_id")).unionByName(firsts)
                  .groupBy("uid", "mid").agg(F.min("from_seq").alias("from_seq")))
         cands = realtime.click_candidates(clicks, sims, rated, knobs.candidate_n)
-        recs = realtime.score_candidates(cands, recents, sims)
+        recs = realtime.score_candidates(cands, recents, sims, round_digits)
         part = f"batch_id={batch_id}"
         clicks.select("uid", "event_id", "ts", "seq").write.mode("overwrite").parquet(
             os.path.join(out, "heads", part))
@@ -114,7 +117,8 @@ def score_batch(batch: DataFrame, batch_id: int, sims_path: str, stored_path: st
 
 def run_stream(spark: SparkSession, clicks_dir: str, sims_path: str, stored_path: str, out: str,
                checkpoint: str | None = None, available_now: bool = False,
-               knobs=DEFAULT, max_files_per_trigger: int | None = None):
+               knobs=DEFAULT, max_files_per_trigger: int | None = None,
+               round_digits: int | None = None):
     """Start the streaming recommender; returns the ``StreamingQuery``.
 
     ``checkpoint`` defaults to a folder under the session's shared
@@ -127,7 +131,8 @@ def run_stream(spark: SparkSession, clicks_dir: str, sims_path: str, stored_path
     src = with_queue_state(click_source(spark, clicks_dir, knobs.click_prefix,
                                         max_files_per_trigger), knobs.queue_cap, knobs.recent_k)
     w = (src.writeStream.option("checkpointLocation", ckpt)
-         .foreachBatch(lambda df, bid: score_batch(df, bid, sims_path, stored_path, out, knobs)))
+         .foreachBatch(lambda df, bid: score_batch(df, bid, sims_path, stored_path, out, knobs,
+                                                   round_digits)))
     w = w.trigger(availableNow=True) if available_now else \
         w.trigger(processingTime=f"{knobs.batch_seconds} seconds")
     return w.start()
