@@ -24,7 +24,7 @@ HEADLINE = [
     "similar_items", "item_neighbours_nested", "parse_click_log", "recent_queue",
     "click_candidates", "realtime_scores", "realtime_recs_all_clicks", "realtime_recs_latest",
     "ratings_after_clicks", "user_history", "user_favourites", "user_recs_by_score",
-    "user_status", "user_dashboard", "als_item_factors", "als_rmse",
+    "user_status", "user_dashboard", "stream_recs_latest", "als_item_factors", "als_rmse",
 ]
 
 

@@ -26,7 +26,8 @@ class Knobs:
     # Ours.
     split_seed: int = 42
     train_percent: int = 80
-    block_rows: int = 512         # rows per block in the all-pairs kernel
+    block_bytes: int = 256 << 20  # most bytes of vectors in one similarity block
+    chunk_bytes: int = 32 << 20   # most bytes of similarities computed at once
 
     def with_(self, **kw) -> "Knobs":
         return replace(self, **kw)
