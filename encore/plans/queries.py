@@ -185,9 +185,11 @@ def q_stream_recs_latest(spark, d):
     q = stream.run_stream(spark, f"{base}/in", f"{base}/sims", f"{base}/stored", f"{base}/out",
                           checkpoint=f"{base}/checkpoint", available_now=True,
                           round_digits=SCORE_DIGITS)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    for query in (q, q.rejects):
+        if query is not None:
+            query.awaitTermination()
+            if query.exception() is not None:
+                raise RuntimeError(str(query.exception()))
     return stream.latest_stream_recs(spark, f"{base}/out").select("uid", "mid", "score", "rank")
 
 

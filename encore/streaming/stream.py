@@ -2,7 +2,8 @@
 (OP-36), per-user recent queue in keyed state (OP-37), static similarity
 side re-read per batch (OP-40), keyed upsert sink (OP-07).
 
-Flow:  text lines -> ``parse_click_log`` -> ``groupBy(uid)
+Flow:  log lines (files or a Kafka topic) -> ``parse_click_log`` (rejects to
+their own file sink) -> -> ``groupBy(uid)
 .applyInPandasWithState`` (queue of the newest ``queue_cap`` items and a
 click counter per user; emits each click with its ``seq`` and its recent
 list) -> ``foreachBatch(score_batch)``.  ``score_batch`` runs the same
@@ -38,15 +39,31 @@ STATE_SCHEMA = "seq long, queue array<int>"
 OUT_SCHEMA = "uid int, mid int, ts long, seq long, recents array<int>"
 
 
-def click_source(spark: SparkSession, path: str, prefix: str = DEFAULT.click_prefix,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """OP-06 + OP-35: a directory of log files as a stream of parsed clicks.
-    Lines that are not clicks are dropped (they are rejects, D4)."""
-    r = spark.readStream.format("text")
-    if max_files_per_trigger:
+def click_lines(spark: SparkSession, path: str | None = None, fmt: str = "text",
+                max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
+    """OP-06: the raw log as a stream of ``value`` strings.
+
+    ``fmt="text"`` reads a directory of log files (what the log shipper
+    writes); ``fmt="kafka"`` subscribes to a topic through Spark's Kafka
+    source (``options`` such as ``kafka.bootstrap.servers``, ``subscribe``,
+    ``startingOffsets``); that needs the Kafka connector on the classpath.
+    """
+    r = spark.readStream.format(fmt)
+    if max_files_per_trigger and fmt == "text":
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows, _ = parse_click_log(r.load(path), prefix)
-    return rows
+    if options:
+        r = r.options(**options)
+    df = r.load(path) if path else r.load()
+    if fmt == "kafka":
+        df = df.selectExpr("CAST(value AS STRING) AS value")
+    return df
+
+
+def click_source(spark: SparkSession, path: str | None, prefix: str = DEFAULT.click_prefix,
+                 max_files_per_trigger: int | None = None, fmt: str = "text",
+                 options: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """OP-06 + OP-35: parsed clicks and the rejected lines (D4), both streams."""
+    return parse_click_log(click_lines(spark, path, fmt, max_files_per_trigger, options), prefix)
 
 
 def _queue_state(cap: int, k: int):
@@ -115,27 +132,41 @@ def score_batch(batch: DataFrame, batch_id: int, sims_path: str, stored_path: st
         clicks.unpersist()
 
 
-def run_stream(spark: SparkSession, clicks_dir: str, sims_path: str, stored_path: str, out: str,
-               checkpoint: str | None = None, available_now: bool = False,
+def run_stream(spark: SparkSession, clicks_dir: str | None, sims_path: str, stored_path: str,
+               out: str, checkpoint: str | None = None, available_now: bool = False,
                knobs=DEFAULT, max_files_per_trigger: int | None = None,
-               round_digits: int | None = None):
+               round_digits: int | None = None, fmt: str = "text", options: dict | None = None,
+               keep_rejects: bool = True):
     """Start the streaming recommender; returns the ``StreamingQuery``.
 
     ``checkpoint`` defaults to a folder under the session's shared
     ``spark.checkpoint.dir``.  ``available_now`` processes what is there and
     stops (tests, catch-up runs); otherwise a batch fires every
-    ``knobs.batch_seconds`` (OP-36).
+    ``knobs.batch_seconds`` (OP-36).  With ``keep_rejects`` a second query
+    appends malformed lines to ``out/rejects`` (file sink, exactly once);
+    it is reachable as ``query.rejects``.
     """
     ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "stream-" +
                                       os.path.basename(out.rstrip("/")))
-    src = with_queue_state(click_source(spark, clicks_dir, knobs.click_prefix,
-                                        max_files_per_trigger), knobs.queue_cap, knobs.recent_k)
-    w = (src.writeStream.option("checkpointLocation", ckpt)
+    clicks, rejects = click_source(spark, clicks_dir, knobs.click_prefix, max_files_per_trigger,
+                                   fmt, options)
+    src = with_queue_state(clicks, knobs.queue_cap, knobs.recent_k)
+    w = (src.writeStream.option("checkpointLocation", os.path.join(ckpt, "recs"))
          .foreachBatch(lambda df, bid: score_batch(df, bid, sims_path, stored_path, out, knobs,
                                                    round_digits)))
-    w = w.trigger(availableNow=True) if available_now else \
-        w.trigger(processingTime=f"{knobs.batch_seconds} seconds")
-    return w.start()
+    r = None
+    if keep_rejects:
+        r = (rejects.writeStream.format("parquet").option("path", os.path.join(out, "rejects"))
+             .option("checkpointLocation", os.path.join(ckpt, "rejects")))
+    if available_now:
+        w = w.trigger(availableNow=True)
+        r = r.trigger(availableNow=True) if r is not None else None
+    else:
+        w = w.trigger(processingTime=f"{knobs.batch_seconds} seconds")
+        r = r.trigger(processingTime=f"{knobs.batch_seconds} seconds") if r is not None else None
+    q = w.start()
+    q.rejects = r.start() if r is not None else None
+    return q
 
 
 def latest_stream_recs(spark: SparkSession, out: str) -> DataFrame:

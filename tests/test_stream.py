@@ -38,13 +38,18 @@ def test_stream_equals_batch_and_restart_does_not_double(spark, workdir):
     _push(w, 1)
     _push(w, 2)
     args = (spark, f"{w}/in", f"{w}/sims", f"{w}/stored", f"{w}/out")
-    stream.run_stream(*args, checkpoint=f"{w}/ckpt", available_now=True,
-                      max_files_per_trigger=1).awaitTermination()
+    q = stream.run_stream(*args, checkpoint=f"{w}/ckpt", available_now=True,
+                          max_files_per_trigger=1)
+    q.awaitTermination()
+    q.rejects.awaitTermination()
     first = spark.read.parquet(f"{w}/out/heads").count()
     _push(w, 3)                                        # restart from the checkpoint
-    stream.run_stream(*args, checkpoint=f"{w}/ckpt", available_now=True,
-                      max_files_per_trigger=1).awaitTermination()
+    q = stream.run_stream(*args, checkpoint=f"{w}/ckpt", available_now=True,
+                          max_files_per_trigger=1)
+    q.awaitTermination()
+    q.rejects.awaitTermination()
     assert spark.read.parquet(f"{w}/out/heads").count() == clicks.count() > first
+    assert spark.read.parquet(f"{w}/out/rejects").count() == 0
 
     got = stream.latest_stream_recs(spark, f"{w}/out").select("uid", "mid", "score", "rank")
     sims, stored = spark.read.parquet(f"{w}/sims"), spark.read.parquet(f"{w}/stored")
@@ -55,3 +60,28 @@ def test_stream_equals_batch_and_restart_does_not_double(spark, workdir):
     assert len(a) == len(b) > 0
     for x, y in zip(a, b):
         assert x[:2] == y[:2] and x[3] == y[3] and x[2] == pytest.approx(y[2], abs=1e-12)
+
+
+def test_rejects_side_output(spark, workdir):
+    w = workdir
+    os.makedirs(f"{w}/in")
+    with open(f"{w}/in/a.log", "w") as f:
+        f.write("x  INFO --- MUSIC_LISTENING_PREFIX:1|2|3\nplain INFO line\n"
+                "MUSIC_LISTENING_PREFIX:1|x|3\n")
+    spark.createDataFrame([(2, 3, 0.5)], "mid int, nb_mid int, score double") \
+        .write.parquet(f"{w}/sims")
+    spark.createDataFrame([(9, 9, 1)], "uid int, mid int, weight long").write.parquet(f"{w}/stored")
+    q = stream.run_stream(spark, f"{w}/in", f"{w}/sims", f"{w}/stored", f"{w}/out",
+                          checkpoint=f"{w}/ckpt", available_now=True)
+    q.awaitTermination()
+    q.rejects.awaitTermination()
+    rej = sorted(r.reason for r in spark.read.parquet(f"{w}/out/rejects").collect())
+    assert rej == ["no_prefix", "not_an_int"]
+    recs = stream.latest_stream_recs(spark, f"{w}/out").collect()
+    assert [(r.uid, r.mid, r.rank) for r in recs] == [(1, 3, 1)]
+
+
+def test_kafka_option_is_wired(spark):
+    with pytest.raises(Exception):       # the connector jar is not installed here
+        stream.click_lines(spark, None, fmt="kafka",
+                           options={"kafka.bootstrap.servers": "localhost:1", "subscribe": "t"})
