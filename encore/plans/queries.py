@@ -231,7 +231,9 @@ def q_user_status(spark, d):
 
 
 def q_user_dashboard(spark, d):
-    clicks, cat, rn = tables.clicks(spark, d), tables.catalog(spark, d), ratings_now(spark, d)
+    # The current ratings feed all three enrichments and the favourites: write once.
+    clicks, cat = tables.clicks(spark, d), tables.catalog(spark, d)
+    rn = materialize(ratings_now(spark, d))
     return serving.user_dashboard(serving.user_history(clicks, cat, rn),
                                   serving.user_recs(latest_long(spark, d), cat, rn),
                                   serving.user_favourites(rn, cat))
