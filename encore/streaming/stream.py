@@ -36,6 +36,8 @@ from encore.session import ensure_checkpoint_dir
 from encore.sources.text import parse_click_log
 
 STATE_SCHEMA = "seq long, queue array<int>"
+HEADS = "uid int, event_id long, ts long, seq long"
+RECS = "uid int, event_id long, mid int, score double, rank int"
 OUT_SCHEMA = "uid int, mid int, ts long, seq long, recents array<int>"
 
 
@@ -169,11 +171,66 @@ def run_stream(spark: SparkSession, clicks_dir: str | None, sims_path: str, stor
     return q
 
 
+def _current(heads: DataFrame, recs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    last = heads.groupBy("uid").agg(F.max(F.struct("seq", "event_id", "ts")).alias("_l")) \
+        .select("uid", "_l.event_id", "_l.ts", "_l.seq")
+    cur = recs.join(last.select("uid", "event_id"), ["uid", "event_id"]) \
+        .select("uid", "event_id", "mid", "score", "rank")
+    return last, cur
+
+
+def _snapshot(spark: SparkSession, out: str):
+    """Newest compaction ``(upto, heads, recs)``, or ``(-1, None, None)``."""
+    try:
+        heads = spark.read.schema(HEADS + ", upto long").parquet(
+            os.path.join(out, "snapshot", "heads"))
+    except AnalysisException:
+        return -1, None, None
+    upto = heads.agg(F.max("upto")).first()[0]
+    if upto is None:
+        return -1, None, None
+    recs = spark.read.schema(RECS + ", upto long").parquet(os.path.join(out, "snapshot", "recs"))
+    return (upto, heads.where(F.col("upto") == upto).drop("upto"),
+            recs.where(F.col("upto") == upto).drop("upto"))
+
+
+def _heads_and_recs(spark: SparkSession, out: str):
+    upto, s_heads, s_recs = _snapshot(spark, out)
+    heads = _read_or_empty(spark, os.path.join(out, "heads"), HEADS)
+    recs = _read_or_empty(spark, os.path.join(out, "recs"), RECS)
+    heads = heads.where(F.col("batch_id") > upto).drop("batch_id")
+    recs = recs.where(F.col("batch_id") > upto).drop("batch_id")
+    if s_heads is not None:
+        heads, recs = s_heads.unionByName(heads), s_recs.unionByName(recs)
+    return heads, recs
+
+
 def latest_stream_recs(spark: SparkSession, out: str) -> DataFrame:
     """OP-07 read side: each user's current list ``(uid, event_id, mid, score, rank)``
-    (the list from the user's highest ``seq``; empty lists have no rows, D12)."""
-    heads = spark.read.parquet(os.path.join(out, "heads"))
-    last = heads.groupBy("uid").agg(F.max(F.struct("seq", "event_id")).alias("_l")) \
-        .select("uid", F.col("_l.event_id").alias("event_id"))
-    recs = spark.read.parquet(os.path.join(out, "recs")).drop("batch_id")
-    return recs.join(last, ["uid", "event_id"]).select("uid", "event_id", "mid", "score", "rank")
+    (the list from the user's highest ``seq``; empty lists have no rows, D12).
+    Reads the newest compaction snapshot plus the batches written after it."""
+    _, cur = _current(*_heads_and_recs(spark, out))
+    return cur
+
+
+def compact_stream(spark: SparkSession, out: str) -> int:
+    """Fold the batches written so far into one snapshot of the current lists
+    (one head and at most ``candidate_n`` rows per user), tagged ``upto`` =
+    the last batch id it covers.  Readers then skip older batch folders
+    (which a retention job may drop); batches after ``upto`` stay visible,
+    so this can run while the stream writes.  The recs snapshot is written
+    before the heads snapshot that readers key on.  Returns ``upto``."""
+    heads = _read_or_empty(spark, os.path.join(out, "heads"), HEADS)
+    upto = heads.agg(F.max("batch_id")).first()[0]
+    prev, s_heads, s_recs = _snapshot(spark, out)
+    if upto is None or upto <= prev:
+        return prev
+    window = (F.col("batch_id") > prev) & (F.col("batch_id") <= upto)
+    h = heads.where(window).drop("batch_id")
+    r = _read_or_empty(spark, os.path.join(out, "recs"), RECS).where(window).drop("batch_id")
+    if s_heads is not None:
+        h, r = s_heads.unionByName(h), s_recs.unionByName(r)
+    last, cur = _current(h, r)
+    cur.write.mode("overwrite").parquet(os.path.join(out, "snapshot", "recs", f"upto={upto}"))
+    last.write.mode("overwrite").parquet(os.path.join(out, "snapshot", "heads", f"upto={upto}"))
+    return upto

@@ -43,6 +43,7 @@ def test_stream_equals_batch_and_restart_does_not_double(spark, workdir):
     q.awaitTermination()
     q.rejects.awaitTermination()
     first = spark.read.parquet(f"{w}/out/heads").count()
+    assert stream.compact_stream(spark, f"{w}/out") >= 0      # snapshot between runs
     _push(w, 3)                                        # restart from the checkpoint
     q = stream.run_stream(*args, checkpoint=f"{w}/ckpt", available_now=True,
                           max_files_per_trigger=1)
@@ -51,6 +52,11 @@ def test_stream_equals_batch_and_restart_does_not_double(spark, workdir):
     assert spark.read.parquet(f"{w}/out/heads").count() == clicks.count() > first
     assert spark.read.parquet(f"{w}/out/rejects").count() == 0
 
+    before = sorted(tuple(r) for r in stream.latest_stream_recs(spark, f"{w}/out").collect())
+    upto = stream.compact_stream(spark, f"{w}/out")
+    assert upto >= 0 and stream.compact_stream(spark, f"{w}/out") == upto
+    after = sorted(tuple(r) for r in stream.latest_stream_recs(spark, f"{w}/out").collect())
+    assert before == after
     got = stream.latest_stream_recs(spark, f"{w}/out").select("uid", "mid", "score", "rank")
     sims, stored = spark.read.parquet(f"{w}/sims"), spark.read.parquet(f"{w}/stored")
     want = realtime.latest_recs(clicks, realtime.replay(clicks, sims, stored)) \
