@@ -34,20 +34,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Cores the cluster offers (shuffle partitions when no context is reachable)."""
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # e.g. a Spark Connect session
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     Order: a folder already set on the context, then ``spark.checkpoint.dir``
     from the session.  Only when neither is set (local tests) do we make one.
     """
-    sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
+    try:
+        sc = spark.sparkContext
+        current = sc._jsc.sc().getCheckpointDir()
+    except Exception:  # no classic context: the session conf is all we have
+        sc, current = None, None
+    if current is not None and current.isDefined():
         return current.get()
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="encore-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
+    if sc is None:
+        return d
     sc.setCheckpointDir(d)
     return sc._jsc.sc().getCheckpointDir().get()
 

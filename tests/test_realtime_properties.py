@@ -77,3 +77,28 @@ def test_queue_invariants(spark, seq):
         mids = [m for _, m in sorted(lst)]
         expect = [m for uu, m in reversed(seq) if uu == u][:40]
         assert mids == expect and len(mids) <= 40
+
+
+def test_invariants_on_driver_tables(spark):
+    """sf0.01: lists bounded, no self pair, candidates never rated as of the
+    click, scores within [0, 1 + log10(recent_k)]."""
+    from pyspark.sql import functions as F
+
+    from conftest import SF01
+    from encore.plans.queries import stream_sims
+    from encore.sources import tables
+
+    sims = stream_sims(spark, SF01)
+    per_item = sims.groupBy("mid").count().agg(F.max("count")).first()[0]
+    assert per_item <= 100 and sims.where("mid = nb_mid").count() == 0
+    clicks, stored = tables.clicks(spark, SF01), tables.base_ratings(spark, SF01)
+    seq = realtime.sequence_clicks(clicks)
+    rated = realtime.rated_as_of(stored, seq)
+    c = realtime.click_candidates(seq, sims, rated)
+    clash = c.join(rated, (c.uid == rated.uid) & (c.cand == rated.mid)
+                   & (rated.from_seq <= c.seq))
+    assert clash.count() == 0
+    assert c.groupBy("event_id").count().agg(F.max("count")).first()[0] <= 20
+    out = realtime.replay(clicks, sims, stored)
+    lo, hi = out.agg(F.min("score"), F.max("score")).first()
+    assert 0.0 <= lo and hi <= 1.0 + math.log10(20) + 1e-12
