@@ -14,6 +14,9 @@ batch overwrites itself and output is exactly once):
   heads/batch_id=N    one row per click ``(uid, event_id, ts, seq)``
   recs/batch_id=N     the list written at that click ``(uid, event_id, mid, score, rank)``
   clicked/batch_id=N  first click of a user on an item ``(uid, mid, from_seq)``
+  snapshot/{heads,recs,clicked}/upto=N   compaction of batches <= N
+Within a batch, clicked and recs are written before heads, which marks the
+batch complete.
 ``latest_stream_recs`` reads the current list per user (the keyed upsert).
 A stream click has no event id of its own; ``event_id`` is
 ``uid * 2^31 + seq``, unique per user click.
@@ -38,6 +41,7 @@ from encore.sources.text import parse_click_log
 STATE_SCHEMA = "seq long, queue array<int>"
 HEADS = "uid int, event_id long, ts long, seq long"
 RECS = "uid int, event_id long, mid int, score double, rank int"
+CLICKED = "uid int, mid int, from_seq long"
 OUT_SCHEMA = "uid int, mid int, ts long, seq long, recents array<int>"
 
 
@@ -115,21 +119,22 @@ def score_batch(batch: DataFrame, batch_id: int, sims_path: str, stored_path: st
     try:
         recents = clicks.select("event_id", "uid", F.posexplode("recents").alias("_p", "r_mid")) \
             .select("event_id", "uid", "r_mid", (F.col("_p") + 1).cast("int").alias("r_pos"))
-        earlier = _read_or_empty(spark, os.path.join(out, "clicked"),
-                                 "uid int, mid int, from_seq long").where(F.col("batch_id") < batch_id)
+        earlier = clicked_history(spark, out, batch_id)
         firsts = clicks.groupBy("uid", "mid").agg(F.min("seq").alias("from_seq"))
         base = stored.select("uid", "mid", F.lit(0).cast("long").alias("from_seq"))
-        rated = (base.unionByName(earlier.drop("batch_id")).unionByName(firsts)
+        rated = (base.unionByName(earlier).unionByName(firsts)
                  .groupBy("uid", "mid").agg(F.min("from_seq").alias("from_seq")))
         cands = realtime.click_candidates(clicks, sims, rated, knobs.candidate_n)
         recs = realtime.score_candidates(cands, recents, sims, round_digits)
         part = f"batch_id={batch_id}"
-        clicks.select("uid", "event_id", "ts", "seq").write.mode("overwrite").parquet(
-            os.path.join(out, "heads", part))
-        recs.select("uid", "event_id", "mid", "score", "rank").write.mode("overwrite").parquet(
-            os.path.join(out, "recs", part))
+        # Order matters: ``heads`` is written last and marks the batch complete
+        # for readers and for compaction.
         new_firsts = firsts.join(earlier.select("uid", "mid"), ["uid", "mid"], "left_anti")
         new_firsts.write.mode("overwrite").parquet(os.path.join(out, "clicked", part))
+        recs.select("uid", "event_id", "mid", "score", "rank").write.mode("overwrite").parquet(
+            os.path.join(out, "recs", part))
+        clicks.select("uid", "event_id", "ts", "seq").write.mode("overwrite").parquet(
+            os.path.join(out, "heads", part))
     finally:
         clicks.unpersist()
 
@@ -179,19 +184,42 @@ def _current(heads: DataFrame, recs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return last, cur
 
 
-def _snapshot(spark: SparkSession, out: str):
-    """Newest compaction ``(upto, heads, recs)``, or ``(-1, None, None)``."""
+def _snapshot_upto(spark: SparkSession, out: str, before: int | None = None) -> int:
+    """Newest compaction id (``< before`` when given), or -1."""
     try:
         heads = spark.read.schema(HEADS + ", upto long").parquet(
             os.path.join(out, "snapshot", "heads"))
     except AnalysisException:
-        return -1, None, None
+        return -1
+    if before is not None:
+        heads = heads.where(F.col("upto") < before)
     upto = heads.agg(F.max("upto")).first()[0]
-    if upto is None:
+    return -1 if upto is None else upto
+
+
+def _snapshot_part(spark: SparkSession, out: str, name: str, schema: str, upto: int):
+    return (spark.read.schema(schema + ", upto long").parquet(os.path.join(out, "snapshot", name))
+            .where(F.col("upto") == upto).drop("upto"))
+
+
+def _snapshot(spark: SparkSession, out: str):
+    """Newest compaction ``(upto, heads, recs)``, or ``(-1, None, None)``."""
+    upto = _snapshot_upto(spark, out)
+    if upto < 0:
         return -1, None, None
-    recs = spark.read.schema(RECS + ", upto long").parquet(os.path.join(out, "snapshot", "recs"))
-    return (upto, heads.where(F.col("upto") == upto).drop("upto"),
-            recs.where(F.col("upto") == upto).drop("upto"))
+    return (upto, _snapshot_part(spark, out, "heads", HEADS, upto),
+            _snapshot_part(spark, out, "recs", RECS, upto))
+
+
+def clicked_history(spark: SparkSession, out: str, before: int) -> DataFrame:
+    """First clicks ``(uid, mid, from_seq)`` of every batch before ``before``:
+    the newest snapshot taken before it plus the batch folders after that."""
+    upto = _snapshot_upto(spark, out, before)
+    rows = _read_or_empty(spark, os.path.join(out, "clicked"), CLICKED)
+    rows = rows.where((F.col("batch_id") > upto) & (F.col("batch_id") < before)).drop("batch_id")
+    if upto >= 0:
+        rows = _snapshot_part(spark, out, "clicked", CLICKED, upto).unionByName(rows)
+    return rows
 
 
 def _heads_and_recs(spark: SparkSession, out: str):
@@ -215,11 +243,12 @@ def latest_stream_recs(spark: SparkSession, out: str) -> DataFrame:
 
 def compact_stream(spark: SparkSession, out: str) -> int:
     """Fold the batches written so far into one snapshot of the current lists
-    (one head and at most ``candidate_n`` rows per user), tagged ``upto`` =
-    the last batch id it covers.  Readers then skip older batch folders
+    (one head and at most ``candidate_n`` rows per user) and of the first
+    clicks, tagged ``upto`` = the last batch id it covers.  Readers then skip older batch folders
     (which a retention job may drop); batches after ``upto`` stay visible,
     so this can run while the stream writes.  The recs snapshot is written
-    before the heads snapshot that readers key on.  Returns ``upto``."""
+    before the heads snapshot that readers key on, and only batches whose
+    heads exist (complete batches) are folded.  Returns ``upto``."""
     heads = _read_or_empty(spark, os.path.join(out, "heads"), HEADS)
     upto = heads.agg(F.max("batch_id")).first()[0]
     prev, s_heads, s_recs = _snapshot(spark, out)
@@ -231,6 +260,9 @@ def compact_stream(spark: SparkSession, out: str) -> int:
     if s_heads is not None:
         h, r = s_heads.unionByName(h), s_recs.unionByName(r)
     last, cur = _current(h, r)
-    cur.write.mode("overwrite").parquet(os.path.join(out, "snapshot", "recs", f"upto={upto}"))
-    last.write.mode("overwrite").parquet(os.path.join(out, "snapshot", "heads", f"upto={upto}"))
+    snap = os.path.join(out, "snapshot")
+    clicked_history(spark, out, upto + 1).write.mode("overwrite").parquet(
+        os.path.join(snap, "clicked", f"upto={upto}"))
+    cur.write.mode("overwrite").parquet(os.path.join(snap, "recs", f"upto={upto}"))
+    last.write.mode("overwrite").parquet(os.path.join(snap, "heads", f"upto={upto}"))
     return upto
