@@ -17,12 +17,6 @@ def strict_int(c: Column, to: str = "int") -> Column:
     return F.when(c.rlike(_INT_TEXT), c.try_cast(to))
 
 
-def unit_vector(v: Column) -> Column:
-    """``v / ||v||``; NULL for a zero (or NULL) vector, which drops the item."""
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0).cast("double"), lambda acc, x: acc + x * x))
-    return F.when(norm > 0, F.transform(v, lambda x: x / norm))
-
-
 def md5_bucket(cols: list, seed: int, buckets: int = 100) -> Column:
     """Deterministic bucket in [0, buckets) from ``md5(c1|c2|...|seed)``.
 
@@ -37,8 +31,3 @@ def epoch_seconds(name: str) -> Column:
     """Whole seconds since 1970 of the TIMESTAMP_NTZ column ``name``,
     independent of the session time zone."""
     return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{name}`)")
-
-
-def round_half_away(c: Column, digits: int | None) -> Column:
-    """``round`` when digits are given, else the value as is."""
-    return c if digits is None else F.round(c, digits)
