@@ -44,8 +44,17 @@ def recent_rows(seq: DataFrame, k: int = DEFAULT.recent_k, targets: DataFrame |
     """OP-38 as of each target click: clicks of the same user with
     ``seq`` in ``(s - k, s]``.  Each click is fanned out to the ``k`` later
     positions it is recent for and matched on ``(uid, seq)``, a unique key,
-    so a heavy user's rows spread over all tasks."""
-    fan = (seq.select("uid", F.col("seq").alias("_src"), F.col("mid").alias("r_mid"))
+    so a heavy user's rows spread over all tasks.  With ``targets`` (say,
+    each user's last click) only clicks within ``k`` positions of some
+    target of the user are fanned out."""
+    src = seq.select("uid", "seq", "mid")
+    if targets is not None:
+        lo = targets.groupBy("uid").agg((F.min("seq") - k).alias("_lo"),
+                                        F.max("seq").alias("_hi"))
+        src = (src.join(lo, "uid")
+               .where((F.col("seq") > F.col("_lo")) & (F.col("seq") <= F.col("_hi")))
+               .drop("_lo", "_hi"))
+    fan = (src.select("uid", F.col("seq").alias("_src"), F.col("mid").alias("r_mid"))
            .withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
            .withColumn("seq", F.col("_src") + F.col("_d")))
     tgt = (targets if targets is not None else seq).select("event_id", "uid", "seq")
