@@ -22,8 +22,8 @@ NODES = ["Exchange", "ReusedExchange", "BroadcastExchange", "SortMergeJoin", "Br
 
 
 def final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
     qe = df._jdf.queryExecution()
+    qe.toRdd().count()          # run this very execution, so its adaptive plan is final
     p = qe.executedPlan().toString()
     # keep the final adaptive plan only
     if "== Final Plan ==" in p:
