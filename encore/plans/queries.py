@@ -181,7 +181,7 @@ def q_stream_recs_latest(spark, d):
     the comparison leaves ``event_id`` out."""
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     stream_sims(spark, d).write.parquet(f"{base}/sims")
-    tables.base_ratings(spark, d).write.parquet(f"{base}/stored")
+    sinks.write_ratings(tables.base_ratings(spark, d), f"{base}/stored")   # uid-clustered
     (text.format_click_log(tables.clicks(spark, d)).select(F.col("line").alias("value"))
      .write.text(f"{base}/in"))
     q = stream.run_stream(spark, f"{base}/in", f"{base}/sims", f"{base}/stored", f"{base}/out",
