@@ -9,7 +9,7 @@ RATING = T.StructType([
     T.StructField("score", T.DoubleType(), True),
 ])
 
-MUSIC = T.StructType([
+CATALOG_ITEM = T.StructType([
     T.StructField("mid", T.IntegerType(), False),
     T.StructField("name", T.StringType(), True),
     T.StructField("url", T.StringType(), True),
