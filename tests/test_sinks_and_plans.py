@@ -54,3 +54,18 @@ def test_entry_and_registry(spark):
     assert out.columns == ["uid", "event_id", "mid", "score", "rank"]
     assert out.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries()) == set(QUERIES)
+
+
+def test_sequencing_splits_a_hot_user(spark):
+    from pyspark.sql import functions as F
+
+    from encore.functions.sequence import sequence_within
+    # one user holds every row: range bounds must still spread it over slices
+    df = spark.range(4000).select(F.col("id").alias("event_id"), F.lit(1).alias("uid"),
+                                  (F.col("id") % 7).cast("int").alias("mid"),
+                                  F.col("id").alias("ts"))
+    ranged = df.repartitionByRange(8, "uid", "ts", "event_id")
+    sizes = ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) >= 4 and max(r["count"] for r in sizes) < 4000 / 2
+    p = _plan(sequence_within(df, "uid", ["ts", "event_id"], slices=8))
+    assert "rangepartitioning(uid" in p and "ts" in p
