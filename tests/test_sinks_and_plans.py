@@ -61,7 +61,8 @@ def test_sequencing_splits_a_hot_user(spark):
 
     from encore.functions.sequence import sequence_within
     # one user holds every row: range bounds must still spread it over slices
-    df = spark.range(4000).select(F.col("id").alias("event_id"), F.lit(1).alias("uid"),
+    one = (F.col("id") < 0).cast("int") + 1           # always 1, but not a constant
+    df = spark.range(4000).select(F.col("id").alias("event_id"), one.alias("uid"),
                                   (F.col("id") % 7).cast("int").alias("mid"),
                                   F.col("id").alias("ts"))
     ranged = df.repartitionByRange(8, "uid", "ts", "event_id")
