@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants, whatever the cluster size.
@@ -73,7 +74,13 @@ def materialize(df: DataFrame) -> DataFrame:
     lineage.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # Without a cache, an eager checkpoint computes the plan twice (once to
+    # count, once to write the files); cache only for the duration.
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
