@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.config import DEFAULT
