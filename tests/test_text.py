@@ -44,3 +44,41 @@ def test_format_then_parse_round_trip(spark):
                          (2, "MUSIC_LISTENING_PREFIX:5|6|7")]
     ok, bad = parse_click_log(out.withColumnRenamed("line", "value"), keep=("event_id",))
     assert rows(ok) == [(1, 3, 4, 1700000000), (2, 5, 6, 7)] and bad.count() == 0
+
+
+def _jvm_fields(line, sep=","):
+    """String.split(sep): trailing empty strings removed (a lone "" stays)."""
+    parts = line.split(sep)
+    if line == "":
+        return [""]
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def _jvm_int(s):
+    import re
+    if not re.fullmatch(r"[+-]?[0-9]+", s):
+        return None
+    v = int(s)
+    return v if -2**31 <= v < 2**31 else None
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789,-+ a", max_size=14), min_size=1, max_size=25),
+       st.lists(st.integers(-2**32, 2**32), max_size=5))
+def test_interaction_parser_matches_jvm_rules(spark, lines, big):
+    lines = lines + [f"{a},{a},{a}" for a in big]
+    ok, bad = parse_interactions(spark.createDataFrame([(x,) for x in lines], "value string"))
+    want = []
+    for x in lines:
+        f = _jvm_fields(x)
+        if len(f) >= 3:
+            vals = [_jvm_int(v) for v in f[:3]]
+            if None not in vals:
+                want.append(tuple(vals))
+    assert rows(ok) == sorted(want)
+    assert ok.count() + bad.count() == len(lines)
