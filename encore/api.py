@@ -21,7 +21,8 @@ from encore.sources.sinks import read_ratings, write_ratings, write_table
 from encore.sources.tables import read_table
 from encore.sources.text import (format_click_log, parse_catalog, parse_click_log,
                                  parse_interactions, read_catalog, read_interactions)
-from encore.streaming.stream import latest_stream_recs, run_stream
+from encore.streaming.stream import (compact_stream, latest_stream_recs, run_stream,
+                                     stream_user_status)
 
 __all__ = [
     "read_interactions", "read_catalog", "parse_interactions", "parse_catalog", "read_table",
@@ -31,5 +32,5 @@ __all__ = [
     "parse_click_log", "format_click_log", "recent_queue", "recent_clicks", "candidates",
     "score_clicks", "latest_recs", "latest_recs_nested", "apply_clicks", "user_history",
     "user_favourites", "user_recs", "user_status", "user_dashboard", "enrich_items",
-    "run_stream", "latest_stream_recs",
+    "run_stream", "latest_stream_recs", "compact_stream", "stream_user_status",
 ]

@@ -258,6 +258,22 @@ def latest_stream_recs(spark: SparkSession, out: str) -> DataFrame:
     return cur
 
 
+def stream_user_status(spark: SparkSession, out: str, log_lines: DataFrame,
+                       prefix: str = DEFAULT.click_prefix) -> DataFrame:
+    """OP-29 against a running stream (D11): ``done`` when the user's stored
+    list comes from the user's last click in the log, ``waiting`` while the
+    log holds clicks the stream has not scored yet, or nothing is stored.
+    ``log_lines`` is the log as ``value`` strings (e.g. ``spark.read.text``).
+    Users are everyone with a click in the log.  ``(uid, status)``."""
+    clicks, _ = parse_click_log(log_lines, prefix)
+    seen = clicks.groupBy("uid").agg(F.count(F.lit(1)).alias("_seen"))
+    heads, _ = _heads_and_recs(spark, out)
+    done_upto = heads.groupBy("uid").agg(F.max("seq").alias("_scored"))
+    status = (F.when(F.col("_scored").isNull(), "waiting")
+              .when(F.col("_scored") >= F.col("_seen"), "done").otherwise("waiting"))
+    return seen.join(done_upto, "uid", "left").select("uid", status.alias("status"))
+
+
 def compact_stream(spark: SparkSession, out: str) -> int:
     """Fold the batches written so far into one snapshot of the current lists
     (one head and at most ``candidate_n`` rows per user) and of the first

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from conftest import SF01, rows
 from encore.operators import realtime
 from encore.plans.queries import stream_sims
 from encore.sources import tables
@@ -45,12 +45,17 @@ def test_stream_equals_batch_and_restart_does_not_double(spark, workdir):
     first = spark.read.parquet(f"{w}/out/heads").count()
     assert stream.compact_stream(spark, f"{w}/out") >= 0      # snapshot between runs
     _push(w, 3)                                        # restart from the checkpoint
+    log = spark.read.text(f"{w}/in")
+    lagging = dict(rows(stream.stream_user_status(spark, f"{w}/out", log)))
+    assert "waiting" in lagging.values() and "done" in lagging.values()
     q = stream.run_stream(*args, checkpoint=f"{w}/ckpt", available_now=True,
                           max_files_per_trigger=1)
     q.awaitTermination()
     q.rejects.awaitTermination()
     assert spark.read.parquet(f"{w}/out/heads").count() == clicks.count() > first
     assert spark.read.parquet(f"{w}/out/rejects").count() == 0
+    caught_up = dict(rows(stream.stream_user_status(spark, f"{w}/out", spark.read.text(f"{w}/in"))))
+    assert set(caught_up.values()) == {"done"} and len(caught_up) == 150
 
     before = sorted(tuple(r) for r in stream.latest_stream_recs(spark, f"{w}/out").collect())
     upto = stream.compact_stream(spark, f"{w}/out")
