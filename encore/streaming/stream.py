@@ -27,6 +27,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +74,8 @@ def click_source(spark: SparkSession, path: str | None, prefix: str = DEFAULT.cl
 
 
 def _queue_state(cap: int, k: int):
+    k = min(k, cap)                  # recents are read from the queue
+
     def update(key: tuple, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         uid = int(key[0])
         seq, queue = (state.get[0], list(state.get[1])) if state.exists else (0, [])
@@ -80,16 +83,19 @@ def _queue_state(cap: int, k: int):
         if not frames:
             return
         clicks = pd.concat(frames).sort_values("ts", kind="stable")
-        out_seq, out_recent = [], []
-        for mid in clicks["mid"].tolist():
-            seq += 1
-            queue = ([int(mid)] + queue)[:cap]     # push newest at the head, pop the oldest
-            out_seq.append(seq)
-            out_recent.append(queue[:k])
-        state.update((seq, queue))
-        yield pd.DataFrame({"uid": uid, "mid": clicks["mid"].astype("int32").to_numpy(),
+        mids = clicks["mid"].to_numpy(np.int64)
+        n, old = len(mids), np.asarray(queue[::-1], dtype=np.int64)   # oldest first
+        # history oldest -> newest, padded so every click has k slots before it
+        hist = np.concatenate([np.full(k - 1, -1, np.int64), old, mids])
+        win = np.lib.stride_tricks.sliding_window_view(hist, k)[len(old):len(old) + n, ::-1]
+        keep = win >= 0                                    # padding is never an item id
+        recents = np.split(win[keep], np.cumsum(keep.sum(axis=1))[:-1])
+        queue = hist[::-1][:cap]                           # newest first, oldest dropped
+        state.update((seq + n, [int(x) for x in queue if x >= 0]))
+        yield pd.DataFrame({"uid": uid, "mid": mids.astype(np.int32),
                             "ts": clicks["ts"].astype("int64").to_numpy(),
-                            "seq": out_seq, "recents": out_recent})
+                            "seq": seq + np.arange(1, n + 1, dtype=np.int64),
+                            "recents": [r.astype(np.int32) for r in recents]})
     return update
 
 
