@@ -7,6 +7,11 @@ task hold a third of the table.  Instead we range-partition on
 number rows inside each ``(key, slice)``, and add the counts of the key's
 earlier slices.  Every group that is sorted or windowed is bounded by a
 slice, and the per-slice count table has at most ``keys + slices`` rows.
+
+Range bounds come from sampling whose seed changes with every execution, so
+the slice-tagged rows are written once (``materialize``) and both the
+numbering and the counts are derived from that one copy; otherwise two
+executions of the range exchange could cut the slices differently.
 """
 
 from __future__ import annotations
@@ -14,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from encore.session import materialize
+
 
 def sequence_within(df: DataFrame, key: str, order: list[str], out: str = "seq",
                     slices: int | None = None) -> DataFrame:
@@ -23,7 +30,8 @@ def sequence_within(df: DataFrame, key: str, order: list[str], out: str = "seq",
     """
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, key, *order).withColumn("_slice", F.spark_partition_id())
+    ranged = materialize(df.repartitionByRange(n, key, *order)
+                         .withColumn("_slice", F.spark_partition_id()))
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy(key, "_slice").orderBy(*order)))
     counts = ranged.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"))

@@ -29,9 +29,11 @@ def test_queue_keeps_newest_40_and_recent_20(spark):
 
 
 def test_sequence_matches_row_number_on_skewed_key(spark):
-    data = [(i, 0 if i % 3 else 1 + i % 7, i % 5, i // 2) for i in range(3000)]  # uid 0 holds 2/3
-    df = spark.createDataFrame(data, CLICK)
-    got = sequence_within(df, "uid", ["ts", "event_id"], slices=16)
+    # uid 0 holds 2/3 of the rows; enough rows that range bounds come from a
+    # partial sample (whose seed changes per execution).
+    data = [(i, 0 if i % 3 else 1 + i % 7, i % 5, i // 2) for i in range(60000)]
+    df = spark.createDataFrame(data, CLICK).repartition(8)
+    got = sequence_within(df, "uid", ["ts", "event_id"], slices=4)
     w = Window.partitionBy("uid").orderBy("ts", "event_id")
     want = df.withColumn("seq", F.row_number().over(w).cast("long"))
     assert rows(got, "event_id", "seq") == rows(want, "event_id", "seq")
