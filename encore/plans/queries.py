@@ -8,8 +8,6 @@ compared value by value; the library defaults stay unrounded.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from encore.config import DEFAULT
@@ -74,7 +72,7 @@ def q_catalog_projection(spark, d):
 
 
 def q_stored_ratings_roundtrip(spark, d):
-    path = scratch_path(spark, f"ratings-{uuid.uuid4().hex}")
+    path = scratch_path(spark, "ratings")
     sinks.write_ratings(zscored(spark, d), path)
     return sinks.read_ratings(spark, path)
 
@@ -179,7 +177,7 @@ def q_stream_recs_latest(spark, d):
     then each user's current list read from the sink.  Must equal the batch
     replay (``realtime_recs_latest``); stream click ids are synthetic, so
     the comparison leaves ``event_id`` out."""
-    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    base = scratch_path(spark, "stream")
     stream_sims(spark, d).write.parquet(f"{base}/sims")
     sinks.write_ratings(tables.base_ratings(spark, d), f"{base}/stored")   # uid-clustered
     (text.format_click_log(tables.clicks(spark, d)).select(F.col("line").alias("value"))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants, whatever the cluster size.
@@ -36,53 +36,50 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def parallelism(spark: SparkSession) -> int:
-    """Cores the cluster offers (shuffle partitions when no context is reachable)."""
-    try:
-        return max(1, spark.sparkContext.defaultParallelism)
-    except Exception:  # e.g. a Spark Connect session
-        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    """Cores the cluster offers."""
+    return max(1, spark.sparkContext.defaultParallelism)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     Order: a folder already set on the context, then ``spark.checkpoint.dir``
-    from the session.  Only when neither is set (local tests) do we make one.
+    from the session.  Only a ``local`` master may go without: then one is
+    made for the run.  On a cluster a missing setting is an error, because a
+    folder made on the driver is invisible to the executors.
     """
-    try:
-        sc = spark.sparkContext
-        current = sc._jsc.sc().getCheckpointDir()
-    except Exception:  # no classic context: the session conf is all we have
-        sc, current = None, None
-    if current is not None and current.isDefined():
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    if current.isDefined():
         return current.get()
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
         d = tempfile.mkdtemp(prefix="encore-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if sc is None:
-        return d
     sc.setCheckpointDir(d)
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh sub-folder of the shared checkpoint folder, dropped when the
+    application ends (the file system's own delete-on-exit list)."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
-    Used for intermediates that several branches of a plan read: computed
-    once, and a lost executor resumes from the files instead of replaying the
-    lineage.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    # Without a cache, an eager checkpoint computes the plan twice (once to
-    # count, once to write the files); cache only for the duration.
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
 
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet under the shared folder and read it back.
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+    Used for intermediates that several branches of a plan read: computed
+    once, columns pruned on each later read, and a lost executor resumes from
+    the files instead of replaying the lineage.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
