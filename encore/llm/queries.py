@@ -1,8 +1,8 @@
 """Registered queries of this package and their DuckDB statements."""
 
-from encore.llm import exact_dedup, quality_rules
+from encore.llm import exact_dedup, near_dedup, quality_rules
 
-MODULES = [quality_rules, exact_dedup]
+MODULES = [quality_rules, exact_dedup, near_dedup]
 
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLE = {k: v for m in MODULES for k, v in m.ORACLE.items()}
