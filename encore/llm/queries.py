@@ -1,9 +1,10 @@
 """Registered queries of this package and their DuckDB statements."""
 
-from encore.llm import (bpe, exact_dedup, near_dedup, quality_classifier, quality_rules,
+from encore.llm import (bpe, exact_dedup, html_text, near_dedup, quality_classifier, quality_rules,
                         url_filter)
 
-MODULES = [url_filter, quality_rules, exact_dedup, near_dedup, bpe, quality_classifier]
+MODULES = [url_filter, quality_rules, exact_dedup, html_text, near_dedup, bpe,
+           quality_classifier]
 
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLE = {k: v for m in MODULES for k, v in m.ORACLE.items()}
