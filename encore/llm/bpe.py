@@ -61,7 +61,8 @@ WITH RECURSIVE s(w, p, q, t, n, done) AS (
                 WHERE NOT s.done GROUP BY s.w)) low
     JOIN s x ON x.w = low.w AND x.p = low.q) b ON b.w = s.w
   WHERE NOT s.done AND (b.w IS NULL OR s.p <> b.q))
-SELECT w, list(t ORDER BY p) AS ids FROM s WHERE done GROUP BY w
+SELECT w, list(t ORDER BY p) AS ids, unhex(string_agg(hex, '' ORDER BY p)) AS back
+FROM s JOIN vocabulary ON id = t WHERE done GROUP BY w
 """
 
 LONG = """
@@ -82,11 +83,12 @@ WITH RECURSIVE s(w, p, t, done) AS (
                                       FROM s WHERE NOT done WINDOW word AS (PARTITION BY w ORDER BY p)) a
                                 LEFT JOIN merges ON merges.l = a.t AND merges.r = a.n)))))
   WHERE gone IS NULL OR NOT gone)
-SELECT w, list(t ORDER BY p) AS ids FROM s WHERE done GROUP BY w
+SELECT w, list(t ORDER BY p) AS ids, unhex(string_agg(hex, '' ORDER BY p)) AS back
+FROM s JOIN vocabulary ON id = t WHERE done GROUP BY w
 """
 
 DECODE = """
-SELECT w, list(piece ORDER BY p) AS pieces
+SELECT w, unhex(string_agg(hex, '' ORDER BY p)) AS back
 FROM (SELECT w, unnest(ids) AS id, generate_subscripts(ids, 1) AS p FROM coded) JOIN vocabulary USING (id)
 GROUP BY w
 """
@@ -117,7 +119,7 @@ class Tokenizer:
         self._table("merges", l=pa.array(l, pa.int32()), r=pa.array(r, pa.int32()), m=pa.array(m, pa.int32()),
                     alone=pa.array([lowest.get(x, x + 1) < x for x in m], pa.bool_()))
         self._table("vocabulary", id=pa.array(list(self.bytes_of), pa.int32()),
-                    piece=pa.array(list(self.bytes_of.values()), pa.binary()))
+                    hex=pa.array([b.hex() for b in self.bytes_of.values()]))
         self.cache: dict[str, tuple[bytes, bytes]] = {}
 
     def _table(self, name: str, **columns) -> None:
@@ -125,14 +127,11 @@ class Tokenizer:
         self.con.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM given").complete()
         self.con.unregister("given")
 
-    def _rows(self, sql: str) -> tuple[list, list]:
-        out = self.con.sql(sql).to_arrow_table()
-        return out.column(0).to_pylist(), out.column(1).to_pylist()
-
-    def merge(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word by the recursive queries."""
-        found: list = [[self.ranks[x]] if x in self.ranks else None for x in words]
-        rest = [i for i, x in enumerate(found) if x is None and words[i]]
+    def merge(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """(ids as little-endian 32-bit words, bytes decoded from them) of each
+        word, by the recursive queries."""
+        found = [(self.ranks[x].to_bytes(4, "little"), x) if x in self.ranks else (b"", b"") for x in words]
+        rest = [i for i, x in enumerate(found) if not x[0] and words[i]]
         short = [i for i in rest if len(words[i]) <= LONG_BYTES]
         long = [i for i in rest if len(words[i]) > LONG_BYTES]
         for sql, group, size in ((SHORT, short, CHUNK_WORDS), (LONG, long, 100)):
@@ -143,9 +142,15 @@ class Tokenizer:
                 place = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
                 self._table("start", w=np.repeat(np.array(part, np.int32), length),
                             p=place.astype(np.int32), t=self.byte_id[flat])
-                for w, ids in zip(*self._rows(sql)):
-                    found[w] = ids
-        return [x if x is not None else [] for x in found]
+                out = self.con.sql(sql).to_arrow_table().combine_chunks()
+                ids = pa.concat_arrays(out.column("ids").chunks)
+                ends = (np.cumsum(pc.list_value_length(ids).to_numpy()) * 4).tolist()
+                flat_ids = ids.flatten().to_numpy().astype("<u4").tobytes()
+                start = 0
+                for w, end, back in zip(out.column("w").to_pylist(), ends, out.column("back").to_pylist()):
+                    found[w] = (flat_ids[start:end], back)
+                    start = end
+        return found
 
     def decode(self, sequences: list[list[int]]) -> list[bytes]:
         """Bytes of each id sequence by an ordered aggregation."""
@@ -154,8 +159,9 @@ class Tokenizer:
             part = sequences[at:at + CHUNK_WORDS]
             self._table("coded", w=pa.array(range(at, at + len(part)), pa.int32()),
                         ids=pa.array(part, pa.list_(pa.int32())))
-            for w, found in zip(*self._rows(DECODE)):
-                out[w] = b"".join(found)
+            got = self.con.sql(DECODE).to_arrow_table()
+            for w, back in zip(got.column(0).to_pylist(), got.column(1).to_pylist()):
+                out[w] = back
         return out
 
     def learn(self, words: list[str]) -> list[tuple[bytes, bytes]]:
@@ -164,9 +170,7 @@ class Tokenizer:
         if len(self.cache) + len(new) > CACHE_WORDS:
             self.cache.clear()
             new = words
-        ids = self.merge([w.encode() for w in new])
-        for w, i, b in zip(new, ids, self.decode(ids)):
-            self.cache[w] = (np.array(i, "<u4").tobytes(), b)
+        self.cache.update(zip(new, self.merge([w.encode() for w in new])))
         return [self.cache[w] for w in words]
 
 
