@@ -1,8 +1,50 @@
-"""Corpus pipeline: stages over `documents`, each one operator of encore.llm."""
+"""Corpus pipeline: five stages over ``documents``, each one operator.
 
-STAGES = []
-ORACLE_SQL = None
+Every stage takes ``(spark, docs, sf_dir)``; what it returns is written as
+Parquet in the shared folder and reread as the next stage's ``docs``.  All but
+the last return the columns of ``documents``; the last places every remaining
+document in a batch.
+"""
+
+from encore.llm import exact_dedup, near_dedup, packing, pii, quality_rules
+from encore.session import materialize
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality(spark, docs, sf_dir):
+    """Documents that a quality rule rejects go."""
+    return quality_rules.keep_good(docs).select(COLUMNS)
+
+
+def exact_copies(spark, docs, sf_dir):
+    """Of equal texts the document with the largest id stays."""
+    return exact_dedup.deduplicate(docs).select(COLUMNS)
+
+
+def near_copies(spark, docs, sf_dir):
+    """One document of each group of near duplicates stays (five words, 0.8)."""
+    return near_dedup.deduplicate(docs).select(COLUMNS)
+
+
+def personal_data(spark, docs, sf_dir):
+    """Personal data becomes pseudonyms of the same format."""
+    return pii.mask(docs).select(COLUMNS)
+
+
+def batches(spark, docs, sf_dir):
+    """Every document gets its length bucket, batch and slot."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality rules", quality), ("exact dedup", exact_copies), ("near dedup", near_copies),
+          ("PII", personal_data), ("packing", batches)]
+
+ORACLE_SQL = None        # near duplicates and packing have no SQL form
 
 
 def run(spark, sf_dir):
-    raise NotImplementedError
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), "stage")
+    return STAGES[-1][1](spark, docs, sf_dir)
