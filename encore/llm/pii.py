@@ -8,7 +8,8 @@ length and validity of its value; equal values get equal pseudonyms in every
 document, and different values of a format stay different.
 
 A value is a list of numbers with their moduli: digits modulo 10, letters
-modulo their alphabet, octets modulo 256, a date's day within 73,080 days
+modulo their alphabet, octets modulo the count of octets of their length (one
+with leading zeros is not valid), a date's day within 73,080 days
 (280 x 261, about two centuries).  Each of eight rounds adds to one half of
 the list a key stream derived by SHA-2 from the key, the round and the other
 half.  A card's last digit is computed anew; country codes, the mail domain and
@@ -115,11 +116,15 @@ def _card(m: Column, salt: Column) -> Column:
 
 
 def _ipv4(m: Column, salt: Column) -> Column:
-    octets = F.transform(F.split(m, r"\."), lambda o: o.cast("int"))
-    return _let(octets, lambda o: F.when(
-        F.array_max(o) <= 255,
-        F.array_join(F.transform(feistel(o, F.array_repeat(F.lit(256), 4), salt),
-                                 lambda v: v.cast("string")), ".")).otherwise(m))
+    # an octet moves among those of its own length, so the text keeps its length
+    octets = F.transform(F.split(m, r"\."), lambda o: F.struct(
+        o.cast("int").alias("v"),
+        F.when(F.char_length(o) == 1, 0).when(F.char_length(o) == 2, 10).otherwise(100).alias("low"),
+        F.when(F.char_length(o) == 1, 10).when(F.char_length(o) == 2, 90).otherwise(156).alias("m")))
+    valid = lambda os: F.forall(os, lambda o: (o["v"] >= o["low"]) & (o["v"] < o["low"] + o["m"]))
+    return _let(octets, lambda os: F.when(valid(os), _let(
+        feistel(F.transform(os, lambda o: o["v"] - o["low"]), F.transform(os, lambda o: o["m"]), salt),
+        lambda vs: F.array_join(F.zip_with(os, vs, lambda o, v: (o["low"] + v).cast("string")), "."))).otherwise(m))
 
 
 def _date(m: Column, salt: Column, fmt: str) -> Column:
