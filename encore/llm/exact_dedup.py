@@ -48,8 +48,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                       F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_b"),
                       F.struct(*[F.col(c) for c in (carry or [id_col])]).alias("row"))
     first = src.select("*", *_digit(0, first_digit))
-    shared = (first.groupBy("_ended", "_digit").agg(F.count(F.lit(1)).alias("_n"))
-              .where("_n > 1").select("_ended", "_digit", F.lit(True).alias("_hit")))
+    # groups are written before the join, so that AQE can split a hot key of it
+    shared = materialize(first.groupBy("_ended", "_digit").agg(F.count(F.lit(1)).alias("_n"))
+                         .where("_n > 1").select("_ended", "_digit", F.lit(True).alias("_hit")), "radix")
     rows = materialize(
         first.join(shared, ["_ended", "_digit"], "left")
         .select("_id", "row", F.sha2("_b", 256).alias("text_sha256"),
@@ -63,8 +64,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     while not open_rows.isEmpty():
         level = open_rows.select("*", *_digit(offset, width))
         keys = ["_group", "_ended", "_digit"]
-        groups = level.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_size"),
-                                          F.max(F.struct("_id", "_rid")).alias("_keep"))
+        groups = materialize(level.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_size"),
+                                                      F.max(F.struct("_id", "_rid")).alias("_keep")), "radix")
         step = materialize(
             level.join(groups, keys)
             .withColumn("_done", F.col("_ended") | (F.col("group_size") == 1))
