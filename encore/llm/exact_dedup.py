@@ -52,7 +52,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shared = materialize(first.groupBy("_ended", "_digit").agg(F.count(F.lit(1)).alias("_n"))
                          .where("_n > 1").select("_ended", "_digit", F.lit(True).alias("_hit")), "radix")
     rows = materialize(
-        first.join(shared, ["_ended", "_digit"], "left")
+        first.join(shared.hint("merge"), ["_ended", "_digit"], "left")
         .select("_id", "row", F.sha2("_b", 256).alias("text_sha256"),
                 F.coalesce("_hit", F.lit(False)).alias("_open"),
                 F.when(F.col("_hit"), F.col("_b")).alias("_b"))
@@ -67,7 +67,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         groups = materialize(level.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_size"),
                                                       F.max(F.struct("_id", "_rid")).alias("_keep")), "radix")
         step = materialize(
-            level.join(groups, keys)
+            level.join(groups.hint("merge"), keys)
             .withColumn("_done", F.col("_ended") | (F.col("group_size") == 1))
             # a row id belongs to one group only, so it names the group below
             .select("_rid", "_id", F.col("_keep._rid").alias("_group"), "group_size", "_done",
