@@ -5,12 +5,15 @@
    Texts with the same set form one class and go on as one node.
 2. Nodes meet in a bucket when all minima of a band agree.  At a similarity of
    0.8 a pair misses all 40 bands of 5 with probability 1.2e-7.
-3. Inside a bucket pairs are never all written out.  In each round the next
-   few nodes of a bucket, its hubs, are compared with the later nodes that are
-   not yet in the hub's component; then components are joined.  A bucket is
-   done when the rest of it is one component, or when every node was a hub, so
-   no link between components is lost.  Hubs per round grow eightfold.
-   A group of copies of any size is done after a round or two.
+3. Inside a bucket pairs are never all written out.  In each of two rounds
+   the next few nodes of a bucket, its hubs, are compared with the later nodes
+   that are not yet in a hub's component; then components are joined.  A bucket
+   is done when the rest of it is one component, so a group of copies of any
+   size ends after a round or two.  What is left are buckets of many texts that
+   are alike but not linked.  Buckets that share nodes form a group; its nodes
+   are cut into blocks of about ``BLOCK_SHINGLES`` shingles, and every pair of
+   blocks is compared in one task from the full sets, which writes only links
+   that join two components.  So no link between components is lost.
 4. A pair must agree in the size bound and in its signature's estimate before
    both full sets are loaded and the Jaccard similarity is computed from them.
 5. Links become components by alternating large-star and small-star.
@@ -31,6 +34,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -42,7 +46,8 @@ from encore.session import materialize
 
 BANDS, ROWS = 40, 5
 ESTIMATE_SLACK = 0.2       # signatures may estimate this much below the threshold (over 6 sigma)
-HUB_GROWTH = 8
+HUBS = (1, 4)              # hubs of a bucket in each round
+BLOCK_SHINGLES = 200_000   # shingles of a block in the last comparison
 _rng = np.random.default_rng(20240607)
 _A = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _B = _rng.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
@@ -149,18 +154,11 @@ def _links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFr
     sets = materialize(texts.mapInArrow(_sets(size), "_node long, _hashes binary"), "sets")
     sigs = nodes.select("_node", "_sig")
 
-    edges, label, last, hubs, tested = [], None, None, 1, []
-    while True:
-        state = open_bands.withColumn("_root", F.col("_node")) if label is None else (
-            open_bands.join(label.select(F.col("u").alias("_node"), F.col("v").alias("_root")), "_node", "left")
-            .withColumn("_root", F.coalesce("_root", "_node")))
-        if last is not None:      # what lies after the hubs used so far
-            state = state.join(last, "_key", "left").where("_last IS NULL OR _node > _last").drop("_last")
-        undone = (state.groupBy("_key").agg(F.min("_root").alias("a"), F.max("_root").alias("b"))
-                  .where("a != b").select("_key"))
-        state = materialize(state.join(undone, "_key"), "buckets")
+    edges, label, last, tested = [], None, None, []
+    for hubs in HUBS:
+        state = _unresolved(open_bands, label, last)
         if state.isEmpty():
-            break
+            return label
         open_bands = state.select("_key", "_node", "_n")
         rank = F.row_number().over(Window.partitionBy("_key").orderBy("_node"))
         top = (state.withColumn("_r", rank).where(F.col("_r") <= hubs)
@@ -177,14 +175,86 @@ def _links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFr
         near = _with_both(pairs, sigs, "_sig").mapInArrow(_agree(percent), "u long, v long")
         found = materialize(_with_both(near, sets, "_hashes").mapInArrow(_alike(percent), "u long, v long"),
                             "links")
-        if not found.isEmpty():
-            edges.append(found)
-            label = components(reduce(DataFrame.unionByName, edges))
-            edges = [label.select("u", "v")]      # same components, fewer edges
-        hubs *= HUB_GROWTH
+        edges, label = _joined(edges, found, label)
+    state = _unresolved(open_bands, label, last)
+    if not state.isEmpty():
+        found = materialize(_block_links(state, sets, percent), "links")
+        edges, label = _joined(edges, found, label)
     return label
 
 
+def _joined(edges: list[DataFrame], found: DataFrame, label: DataFrame | None):
+    if found.isEmpty():
+        return edges, label
+    label = components(reduce(DataFrame.unionByName, edges + [found]))
+    return [label.select("u", "v")], label         # same components, fewer edges
+
+
+def _unresolved(bands: DataFrame, label: DataFrame | None, last: DataFrame | None) -> DataFrame:
+    """Rows ``(_key, _node, _n, _root)`` after the hubs used so far, of the
+    buckets whose rest is not one component."""
+    state = bands.withColumn("_root", F.col("_node")) if label is None else (
+        bands.join(label.select(F.col("u").alias("_node"), F.col("v").alias("_root")), "_node", "left")
+        .withColumn("_root", F.coalesce("_root", "_node")))
+    if last is not None:
+        state = state.join(last, "_key", "left").where("_last IS NULL OR _node > _last").drop("_last")
+    undone = (state.groupBy("_key").agg(F.min("_root").alias("a"), F.max("_root").alias("b"))
+              .where("a != b").select("_key"))
+    return materialize(state.join(undone, "_key"), "buckets")
+
+
+def _block_links(state: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components inside groups of overlapping buckets."""
+    first = state.groupBy("_key").agg(F.min("_node").alias("v"))
+    group = components(state.join(first, "_key").select(F.col("_node").alias("u"), "v"))
+    nodes = (state.select("_node", "_n", "_root").distinct()
+             .join(group.select(F.col("u").alias("_node"), F.col("v").alias("_g")), "_node", "left")
+             .withColumn("_g", F.coalesce("_g", "_node")))
+    size = nodes.groupBy("_g").agg(F.ceil(F.sum("_n") / BLOCK_SHINGLES).cast("int").alias("_blocks"))
+    blocks = (nodes.join(size, "_g")
+              .withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
+              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+              .select("_g", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"),
+                      "_block", "_node", "_root"))
+    return (blocks.join(sets, "_node").groupBy("_g", "_i", "_j")
+            .applyInPandas(_block_kernel(percent), "u long, v long"))
+
+
+def _block_kernel(percent: int):
+    def kernel(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        i, j = int(key[1]), int(key[2])
+        left = frame[frame["_block"] == i]
+        right = frame[frame["_block"] == j]
+        nodes = right["_node"].to_numpy()
+        arrays = [np.frombuffer(h, np.uint64) for h in right["_hashes"]]
+        sizes = np.array([len(a) for a in arrays])
+        hashes, owner = np.concatenate(arrays), np.repeat(np.arange(len(arrays)), sizes)
+        order = np.argsort(hashes, kind="stable")
+        hashes, owner = hashes[order], owner[order]
+        parent = {r: r for r in frame["_root"]}
+
+        def root(x):
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        roots, out = right["_root"].to_numpy(), []
+        for u, r, h in zip(left["_node"], left["_root"], left["_hashes"]):
+            mine = np.frombuffer(h, np.uint64)
+            lo, hi = np.searchsorted(hashes, mine, "left"), np.searchsorted(hashes, mine, "right")
+            n = hi - lo
+            at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=len(nodes))
+            for k in np.flatnonzero(100 * both >= percent * (len(mine) + sizes - both)):
+                a, b = root(r), root(roots[k])
+                if a != b:
+                    parent[a] = b
+                    out.append((u, nodes[k]))
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+    return kernel
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                     percent: int = 80, carry: list[str] | None = None) -> DataFrame:
     """One row per input row: ``(id_col, n_shingles, component_id, kept)``
