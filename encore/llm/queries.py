@@ -1,9 +1,9 @@
 """Registered queries of this package and their DuckDB statements."""
 
-from encore.llm import (bpe, exact_dedup, html_text, near_dedup, packing, pii, quality_classifier, quality_rules,
+from encore.llm import (bpe, exact_dedup, html_text, licenses, near_dedup, packing, pii, quality_classifier, quality_rules,
                         url_filter)
 
-MODULES = [url_filter, quality_rules, exact_dedup, pii, packing, html_text, near_dedup, bpe,
+MODULES = [url_filter, quality_rules, exact_dedup, pii, packing, html_text, near_dedup, bpe, licenses,
            quality_classifier]
 
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
