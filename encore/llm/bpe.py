@@ -33,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 CACHE_WORDS = 400_000
@@ -220,7 +221,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def decode(coded: DataFrame, ids_col: str = "ids", out_col: str = "bytes",
            vocabulary: str = VOCABULARY) -> DataFrame:
     """Adds the bytes of any list of ids (null for a null list)."""
-    schema = coded.schema.add(out_col, "binary")
+    schema = T.StructType([*coded.schema.fields, T.StructField(out_col, T.BinaryType())])
 
     def run(batches):
         for batch in batches:

@@ -108,8 +108,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = min(1.0, train_texts / total["n"])
     sample = known.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
     # at most about train_texts rows of two numbers: a proven bound
-    rows = docs.join(F.broadcast(sample), docs[id_col] == sample["_id"]).select(text_col, "label")
-    train = materialize(featured(rows, text_col, ["label"]).coalesce(4), "train")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    rows = texts.join(F.broadcast(sample), "_id").select("_text", "label")
+    train = materialize(featured(rows, "_text", ["label"]).coalesce(4), "train")
     seen = train.agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("mean")).first()
     if not seen["n"] or seen["mean"] in (0.0, 1.0):
         return F.lit(seen["mean"] if seen["n"] else total["mean"])
