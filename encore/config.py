@@ -26,7 +26,7 @@ class Knobs:
     # Ours.
     split_seed: int = 42
     train_percent: int = 80
-    lookup_keys_max: int = 50_000  # most users of a micro-batch pushed to scans as an IN list
+    als_blocks: int = 16           # factor blocks; fixed, because start vectors are drawn by block
     block_bytes: int = 256 << 20  # most bytes of vectors in one similarity block
     chunk_bytes: int = 32 << 20   # most bytes of similarities computed at once
 

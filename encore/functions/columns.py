@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_INT_TEXT = r"^[+-]?[0-9]+$"
+_INT_TEXT = r"\A[+-]?[0-9]+\z"
+
+
+def trim_controls(c: Column) -> Column:
+    """Drop every character up to U+0020 at both ends (blanks, tabs, controls)."""
+    return F.regexp_replace(c, r"\A[\x00-\x20]+|[\x00-\x20]+\z", "")
 
 
 def strict_int(c: Column, to: str = "int") -> Column:

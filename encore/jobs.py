@@ -31,8 +31,7 @@ def load(spark: SparkSession, ratings_text: str, catalog_text: str, out: str) ->
     sinks.write_ratings(normalize.zscore(ok), os.path.join(out, "ratings"))
     bad.write.mode("overwrite").parquet(os.path.join(out, "rejects", "ratings"))
     items, bad_items = text.read_catalog(spark, catalog_text)
-    items.createOrReplaceTempView("catalog_items")
-    sinks.write_table(spark.sql("select mid, name, url from catalog_items"),
+    sinks.write_table(spark.sql("SELECT mid, name, url FROM {items}", items=items),
                       os.path.join(out, "catalog"))
     bad_items.write.mode("overwrite").parquet(os.path.join(out, "rejects", "catalog"))
 
@@ -90,7 +89,9 @@ def main(argv=None) -> int:
     else:
         q = stream.run_stream(spark, args.clicks, args.similar, args.ratings, args.out,
                               available_now=args.available_now)
-        q.awaitTermination()
+        for query in (q, q.rejects):
+            if query is not None:
+                query.awaitTermination()
     return 0
 
 

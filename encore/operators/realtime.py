@@ -88,7 +88,7 @@ def click_candidates(targets: DataFrame, sims: DataFrame, rated: DataFrame,
 
 def score_candidates(cands: DataFrame, recents: DataFrame, sims: DataFrame,
                      round_digits: int | None = None) -> DataFrame:
-    """OP-21 + OP-23: ``avg(sim(cand, r)) + log10(#recent pairs) - log10(1)``
+    """OP-21 + OP-23: ``avg(sim(cand, r)) + log10(#recent pairs)``
     over the click's recent list, a missing similarity counting as 0 and
     repeats counting (D10).  ``sim(cand, r)`` is read from the candidate's own
     list.  Output ``(event_id, uid, mid, score, rank)``, rank by score desc
@@ -99,7 +99,7 @@ def score_candidates(cands: DataFrame, recents: DataFrame, sims: DataFrame,
              .join(recents.select("event_id", "r_mid"), "event_id")
              .join(lookup, ["cand", "r_mid"], "left"))
     score = (F.avg(F.coalesce(F.col("s"), F.lit(0.0)))
-             + F.log10(F.count(F.lit(1)).cast("double")) - F.log10(F.lit(1.0)))
+             + F.log10(F.count(F.lit(1)).cast("double")))
     out = pairs.groupBy("event_id", "uid", F.col("cand").alias("mid")).agg(score.alias("score"))
     if round_digits is not None:
         out = out.withColumn("score", F.round("score", round_digits))
@@ -124,7 +124,7 @@ def replay(clicks: DataFrame, sims: DataFrame, stored: DataFrame, knobs=DEFAULT,
     if materialize:
         seq = write_once(seq)
     targets = latest_clicks(seq) if only_latest else seq
-    recents = recent_rows(seq, knobs.recent_k, targets if only_latest else None)
+    recents = recent_rows(seq, min(knobs.recent_k, knobs.queue_cap), targets if only_latest else None)
     rated = rated_as_of(stored, seq)
     cands = click_candidates(targets, sims, rated, knobs.candidate_n)
     return score_candidates(cands, recents, sims, round_digits)

@@ -113,7 +113,7 @@ CTE: dict[str, tuple[str, list[str]]] = {
         SELECT event_id, uid, mid, score,
                CAST(row_number() OVER (PARTITION BY event_id ORDER BY score DESC, mid) AS INTEGER) AS rank
         FROM (SELECT c.event_id, c.uid, c.cand AS mid,
-                     round(AVG(COALESCE(n.score, 0.0)) + log10(COUNT(*)) - log10(1), 9) AS score
+                     round(AVG(COALESCE(n.score, 0.0)) + log10(COUNT(*)), 9) AS score
               FROM cands c JOIN recents r ON r.event_id = c.event_id
               LEFT JOIN sims n ON n.mid = c.cand AND n.nb_mid = r.r_mid
               GROUP BY 1, 2, 3)""", ["cands", "recents", "sims"]),
@@ -243,8 +243,18 @@ ORACLE = {
                            WHEN l.event_id IS NULL OR h.event_id = l.event_id THEN 'done'
                            ELSE 'waiting' END AS status
         FROM (SELECT DISTINCT uid FROM (SELECT uid FROM stored UNION ALL SELECT uid FROM clicks)) u
-        LEFT JOIN last_click h ON h.uid = u.uid
+        LEFT JOIN (SELECT uid, max_by(event_id, (ts, event_id)) AS event_id FROM clicks
+                   WHERE event_id % 3 <> 0 GROUP BY uid) h ON h.uid = u.uid
         LEFT JOIN last_click l ON l.uid = u.uid""", ["stored", "clicks", "last_click"]),
+    "best_config": """
+        SELECT CAST(l_linenumber AS INTEGER) AS rank, l_discount AS reg, avg(l_quantity) AS rmse
+        FROM lineitem GROUP BY 1, 2 ORDER BY 3, 1, 2 LIMIT 1""",
+    "als_factor_shape": _with("SELECT DISTINCT mid, 20 AS dim FROM zscored WHERE score IS NOT NULL", ["zscored"]),
+    "als_test_pairs": _with(f"""
+        SELECT count(*) AS n, count(*) > 0 AS has_rmse FROM splitted t
+        WHERE split = 'test' AND score IS NOT NULL
+          AND uid IN (SELECT uid FROM splitted WHERE split = 'train' AND score IS NOT NULL)
+          AND mid IN (SELECT mid FROM splitted WHERE split = 'train' AND score IS NOT NULL)""", ["splitted"]),
     "user_dashboard": _with(f"""
         SELECT 'history' AS section, * FROM ({ITEMS} history)
         UNION ALL SELECT 'recommendations' AS section, * FROM ({ITEMS} recs_by_score)

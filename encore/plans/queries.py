@@ -45,7 +45,10 @@ def all_click_recs(spark, d, k=DEFAULT):
 
 
 def latest_long(spark, d, k=DEFAULT):
-    return realtime.latest_recs(tables.clicks(spark, d), all_click_recs(spark, d, k))
+    recs = realtime.replay(tables.clicks(spark, d), stream_sims(spark, d, k),
+                           tables.base_ratings(spark, d), k, only_latest=True,
+                           round_digits=SCORE_DIGITS)
+    return recs.select("uid", "event_id", "mid", "score", "rank")
 
 
 def ratings_now(spark, d):
@@ -66,9 +69,7 @@ def q_parse_catalog(spark, d):
 
 def q_catalog_projection(spark, d):
     rows, _ = text.parse_catalog(text.catalog_lines(tables.catalog(spark, d)))
-    rows.createOrReplaceTempView("catalog_items")
-    return spark.sql("select catalog_items.mid, catalog_items.name, catalog_items.url "
-                     "from catalog_items")
+    return spark.sql("SELECT mid, name, url FROM {items}", items=rows)
 
 
 def q_stored_ratings_roundtrip(spark, d):
@@ -226,7 +227,9 @@ def q_user_recs_by_mid(spark, d):
 def q_user_status(spark, d):
     clicks = tables.clicks(spark, d)
     users = tables.base_ratings(spark, d).select("uid").unionByName(clicks.select("uid"))
-    heads = realtime.latest_recs_nested(clicks, all_click_recs(spark, d)).select("uid", "event_id")
+    # lists stored when two in three clicks had been scored: later clickers wait
+    scored = clicks.where(F.col("event_id") % 3 != 0)
+    heads = realtime.latest_clicks(scored).select("uid", "event_id")
     return serving.user_status(users, clicks, heads)
 
 
@@ -259,21 +262,36 @@ def q_als_rmse(spark, d):
     return factors.model_rmse(factors.fit_factors(train), test)
 
 
-_GRIDS: dict = {}
-
-
 def q_als_grid(spark, d):
-    # The grid result is a dozen rows; keep it for the session so the best
-    # pick below does not refit twelve models.
-    key = (spark.sparkContext.applicationId, d, DEFAULT.grid_ranks, DEFAULT.grid_regs)
-    if key not in _GRIDS:
-        train, test = factors.train_test(zscored(spark, d))
-        _GRIDS[key] = factors.grid_search(train, test).collect()
-    return spark.createDataFrame(_GRIDS[key], "rank int, reg double, rmse double")
+    train, test = factors.train_test(zscored(spark, d))
+    return factors.grid_search(train, test)
 
 
 def q_als_grid_best(spark, d):
-    return factors.best_config(q_als_grid(spark, d))
+    train, test = factors.train_test(zscored(spark, d))
+    return factors.best_config(factors.grid_search(train, test, DEFAULT.grid_ranks[:2]))
+
+
+def q_best_config(spark, d):
+    """OP-17 on errors read from a table: the mean quantity of each
+    (line number, discount) stands for a grid point's error."""
+    lines = spark.read.parquet(f"{d}/lineitem.parquet")
+    grid = lines.groupBy(F.col("l_linenumber").cast("int").alias("rank"),
+                         F.col("l_discount").alias("reg")).agg(F.avg("l_quantity").alias("rmse"))
+    return factors.best_config(grid)
+
+
+def q_als_factor_shape(spark, d):
+    """OP-30/31: every item with a training score has a factor of the rank."""
+    v = factors.item_factors(factors.fit_factors(zscored(spark, d), rank=20))
+    return v.select("mid", F.size("v").alias("dim"))
+
+
+def q_als_test_pairs(spark, d):
+    """OP-16/32: the test pairs that get a prediction (user and item trained)."""
+    train, test = factors.train_test(materialize(zscored(spark, d)))
+    als = factors.model_rmse(factors.fit_factors(train, rank=20), test)
+    return als.select("n", F.col("rmse").isNotNull().alias("has_rmse"))
 
 
 QUERIES = {
@@ -311,4 +329,7 @@ QUERIES = {
     "als_rmse": q_als_rmse,
     "als_grid": q_als_grid,
     "als_grid_best": q_als_grid_best,
+    "best_config": q_best_config,
+    "als_factor_shape": q_als_factor_shape,
+    "als_test_pairs": q_als_test_pairs,
 }

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.config import DEFAULT
-from encore.functions.columns import strict_int
+from encore.functions.columns import strict_int, trim_controls
 
 
 def _fields(value: Column, sep: str) -> Column:
@@ -70,7 +70,7 @@ def parse_catalog(lines: DataFrame, mode: str = "permissive") -> tuple[DataFrame
     f = F.col("_f")
     parsed = (_split_once(lines, F.col("value"), ",")
               .select("value", "_f", strict_int(F.get(f, 0)).alias("mid"),
-                      F.trim(F.get(f, 1)).alias("name"), F.trim(F.get(f, 2)).alias("url"))
+                      trim_controls(F.get(f, 1)).alias("name"), trim_controls(F.get(f, 2)).alias("url"))
               .select("value", "mid", "name", "url",
                       F.when(F.size(f) < 3, "too_few_fields")
                        .when(F.col("mid").isNull(), "not_an_int").alias("_reason")))
@@ -96,7 +96,7 @@ def parse_click_log(lines: DataFrame, prefix: str = DEFAULT.click_prefix,
     Lines without the prefix are rejects (the shared log holds other lines).
     ``keep`` names extra input columns to carry through (e.g. an offset).
     """
-    payload = F.trim(F.element_at(F.split(F.col("value"), re.escape(prefix)), -1))
+    payload = trim_controls(F.element_at(F.split(F.col("value"), re.escape(prefix)), -1))
     f = F.col("_f")
     parsed = (_split_once(lines, payload, "|", keep)
               .select("value", *keep, "_f", strict_int(F.get(f, 0)).alias("uid"),

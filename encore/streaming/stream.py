@@ -110,23 +110,19 @@ def _read_or_empty(spark, path, schema):
     # Works on any file system Spark reads; nothing written yet -> no rows.
     try:
         return spark.read.schema(schema + ", batch_id long").parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _nothing_there(e):
+            raise
         return spark.createDataFrame([], schema + ", batch_id long")
 
 
-def _only_batch_users(table: DataFrame, clicks: DataFrame, most: int) -> DataFrame:
-    """Restrict a per-user table to the users of this micro-batch.
+def _only_batch_users(table: DataFrame, clicks: DataFrame) -> DataFrame:
+    """The rows of a per-user table for the users of this micro-batch."""
+    return table.join(clicks.select("uid").distinct(), "uid", "left_semi")
 
-    A micro-batch holds a bounded number of users (trigger size), so up to
-    ``most`` of them go to the scan as ``uid IN (...)``: parquet skips the
-    row groups of a uid-clustered table (``write_ratings``) instead of the
-    whole table being read every trigger.  Beyond that, the plain join
-    (with Spark's runtime filters) does the restriction.
-    """
-    users = clicks.select("uid").distinct().limit(most + 1).collect()
-    if len(users) > most:
-        return table
-    return table.where(F.col("uid").isin([r.uid for r in users]))
+
+def _nothing_there(e: AnalysisException) -> bool:
+    return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def score_batch(batch: DataFrame, batch_id: int, sims_path: str, stored_path: str, out: str,
@@ -138,11 +134,10 @@ def score_batch(batch: DataFrame, batch_id: int, sims_path: str, stored_path: st
     clicks = batch.withColumn(
         "event_id", F.col("uid").cast("long") * F.lit(1 << 31) + F.col("seq")).persist()
     try:
-        stored = _only_batch_users(stored, clicks, knobs.lookup_keys_max)
+        stored = _only_batch_users(stored, clicks)
         recents = clicks.select("event_id", "uid", F.posexplode("recents").alias("_p", "r_mid")) \
             .select("event_id", "uid", "r_mid", (F.col("_p") + 1).cast("int").alias("r_pos"))
-        earlier = _only_batch_users(clicked_history(spark, out, batch_id), clicks,
-                                    knobs.lookup_keys_max)
+        earlier = _only_batch_users(clicked_history(spark, out, batch_id), clicks)
         firsts = clicks.groupBy("uid", "mid").agg(F.min("seq").alias("from_seq"))
         base = stored.select("uid", "mid", F.lit(0).cast("long").alias("from_seq"))
         rated = (base.unionByName(earlier).unionByName(firsts)
@@ -164,7 +159,7 @@ def score_batch(batch: DataFrame, batch_id: int, sims_path: str, stored_path: st
 
 def run_stream(spark: SparkSession, clicks_dir: str | None, sims_path: str, stored_path: str,
                out: str, checkpoint: str | None = None, available_now: bool = False,
-               knobs=DEFAULT, max_files_per_trigger: int | None = None,
+               knobs=DEFAULT, max_files_per_trigger: int | None = 1000,
                round_digits: int | None = None, fmt: str = "text", options: dict | None = None,
                keep_rejects: bool = True):
     """Start the streaming recommender; returns the ``StreamingQuery``.
@@ -212,7 +207,9 @@ def _snapshot_upto(spark: SparkSession, out: str, before: int | None = None) ->
     try:
         heads = spark.read.schema(HEADS + ", upto long").parquet(
             os.path.join(out, "snapshot", "heads"))
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _nothing_there(e):
+            raise
         return -1
     if before is not None:
         heads = heads.where(F.col("upto") < before)
