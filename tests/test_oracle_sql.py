@@ -6,6 +6,7 @@ import pytest
 
 from conftest import SF001
 import __spark_entry__ as E
+from encore.plans.oracle import ORACLE
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -19,6 +20,9 @@ EXPECTED = {
     "stream_recs_latest": ["uid", "mid", "score", "rank"],
     "user_dashboard": ["section", "uid", "pos", "mid", "name", "url", "clicks"],
     "user_status": ["uid", "status"],
+    "best_config": ["rank", "reg", "rmse"],
+    "als_factor_shape": ["mid", "dim"],
+    "als_test_pairs": ["n", "has_rmse"],
     "click_candidates": ["event_id", "uid", "mid", "sim", "cand_rank"],
 }
 
@@ -33,7 +37,7 @@ def con():
 
 def test_every_oracle_binds(con):
     sqls = E.oracle_sql()
-    assert len(sqls) == 29 and set(sqls) <= set(E.queries())
+    assert len(ORACLE) == 32 and set(ORACLE) <= set(sqls) <= set(E.queries())
     for name, sql in sqls.items():
         cols = [r[0] for r in con.sql(f"DESCRIBE {sql}").fetchall()]
         assert len(cols) == len(set(cols)), name

@@ -82,3 +82,12 @@ def test_interaction_parser_matches_jvm_rules(spark, lines, big):
                 want.append(tuple(vals))
     assert rows(ok) == sorted(want)
     assert ok.count() + bad.count() == len(lines)
+
+
+def test_control_characters_are_trimmed_and_line_ends_rejected(spark):
+    from pyspark.sql import functions as F
+
+    from encore.functions.columns import strict_int, trim_controls
+    r = spark.createDataFrame([(" \t3|4\x00\r\n", "17\r", "+17")], "a string, b string, c string").select(
+        trim_controls(F.col("a")).alias("a"), strict_int(F.col("b")).alias("b"), strict_int(F.col("c")).alias("c"))
+    assert tuple(r.first()) == ("3|4", None, 17)
