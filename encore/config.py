@@ -27,8 +27,7 @@ class Knobs:
     split_seed: int = 42
     train_percent: int = 80
     als_blocks: int = 16           # factor blocks; fixed, because start vectors are drawn by block
-    block_bytes: int = 256 << 20  # most bytes of vectors in one similarity block
-    chunk_bytes: int = 32 << 20   # most bytes of similarities computed at once
+    tile_rows: int = 4096          # items of a similarity tile; a task holds tile_rows^2 cosines
 
     def with_(self, **kw) -> "Knobs":
         return replace(self, **kw)

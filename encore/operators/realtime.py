@@ -90,17 +90,20 @@ def score_candidates(cands: DataFrame, recents: DataFrame, sims: DataFrame,
                      round_digits: int | None = None) -> DataFrame:
     """OP-21 + OP-23: ``avg(sim(cand, r)) + log10(#recent pairs)``
     over the click's recent list, a missing similarity counting as 0 and
-    repeats counting (D10).  ``sim(cand, r)`` is read from the candidate's own
-    list.  Output ``(event_id, uid, mid, score, rank)``, rank by score desc
-    then item id."""
-    lookup = sims.select(F.col("mid").alias("cand"), F.col("nb_mid").alias("r_mid"),
-                         F.col("score").alias("s"))
-    pairs = (cands.select("event_id", "uid", "cand")
-             .join(recents.select("event_id", "r_mid"), "event_id")
-             .join(lookup, ["cand", "r_mid"], "left"))
-    score = (F.avg(F.coalesce(F.col("s"), F.lit(0.0)))
-             + F.log10(F.count(F.lit(1)).cast("double")))
-    out = pairs.groupBy("event_id", "uid", F.col("cand").alias("mid")).agg(score.alias("score"))
+    repeats counting (D10).  One row per candidate: it carries the click's
+    recent items (at most ``recent_k``) and meets its own neighbour list (at
+    most ``top_k_similar``) once, by ``cand``.  Output ``(event_id, uid, mid,
+    score, rank)``, rank by score desc then item id."""
+    lists = sims.groupBy(F.col("mid").alias("cand")).agg(
+        F.map_from_entries(F.collect_list(F.struct("nb_mid", "score"))).alias("_sims"))
+    recent = recents.groupBy("event_id").agg(F.array_sort(F.collect_list("r_mid")).alias("_recent"))
+    pairs = (cands.select("event_id", "uid", "cand").join(recent, "event_id")
+             .join(lists, "cand", "left"))
+    n = F.size("_recent").cast("double")
+    total = F.aggregate("_recent", F.lit(0.0),
+                        lambda acc, r: acc + F.coalesce(F.element_at("_sims", r), F.lit(0.0)))
+    out = pairs.select("event_id", "uid", F.col("cand").alias("mid"),
+                       (total / n + F.log10(n)).alias("score"))
     if round_digits is not None:
         out = out.withColumn("score", F.round("score", round_digits))
     w = Window.partitionBy("event_id").orderBy(F.col("score").desc(), F.col("mid").asc())

@@ -35,11 +35,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Cores the cluster offers."""
-    return max(1, spark.sparkContext.defaultParallelism)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
