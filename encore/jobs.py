@@ -1,10 +1,12 @@
-"""The four jobs, runnable with ``spark-submit`` (or ``python -m encore.jobs``):
+"""The six jobs, runnable with ``spark-submit`` (or ``python -m encore.jobs``):
 
   load     interaction + catalog text -> z-scored rating table (OP-01/02/04/14/15)
            and catalog table (OP-03/09); rejects written beside them
   tune     rating table -> RMSE for each (rank, reg) of the grid and the best (OP-33/34/17)
   similar  rating table -> ALS item factors -> top-k similar items (OP-30/31/19/12/18)
-  stream   click log directory -> per-user real-time lists (OP-06/07/36/37/40)
+  stream   click log directory or Kafka topic -> per-user real-time lists (OP-06/07/36/37/40)
+  fold     rating table + click log -> rating table with the clicks counted (OP-28/15)
+  views    rating table, catalog, click log, stream output -> per-user views (OP-24..27, 29, 41)
 
 Paths may be any file system Spark reads; the session's ``spark.checkpoint.dir``
 is used for checkpoints.
@@ -16,10 +18,11 @@ import argparse
 import os
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from encore.config import DEFAULT
-from encore.operators import factors, normalize, similarity
+from encore.operators import factors, normalize, serving, similarity
 from encore.session import ensure_checkpoint_dir, materialize
 from encore.sources import sinks, text
 from encore.streaming import stream
@@ -55,6 +58,37 @@ def similar(spark: SparkSession, ratings: str, out: str, knobs=DEFAULT) -> None:
     sinks.write_table(long, os.path.join(out, "similar"))
 
 
+def logged_clicks(spark: SparkSession, log: str, prefix: str = DEFAULT.click_prefix) -> DataFrame:
+    """Clicks of a log; those of one second go by item id, as in the stream."""
+    clicks, _ = text.parse_click_log(spark.read.text(log), prefix)
+    return clicks.withColumn("event_id", F.col("mid").cast("long"))
+
+
+def fold(spark: SparkSession, ratings: str, log: str, out: str) -> None:
+    """The next rating table: every logged click adds one to its pair."""
+    now = materialize(serving.apply_clicks(sinks.read_ratings(spark, ratings), logged_clicks(spark, log)))
+    sinks.write_ratings(normalize.zscore(now), os.path.join(out, "ratings"))
+
+
+def views(spark: SparkSession, ratings: str, catalog: str, log: str, recs: str, out: str,
+          knobs=DEFAULT) -> None:
+    """``ratings`` is the table after ``fold``, ``recs`` the stream's output."""
+    rated, items = sinks.read_ratings(spark, ratings), spark.read.parquet(catalog)
+    board = serving.user_dashboard(
+        serving.user_history(logged_clicks(spark, log), items, rated, knobs.history_n),
+        serving.user_recs(stream.latest_stream_recs(spark, recs), items, rated, knobs.recs_n),
+        serving.user_favourites(rated, items, knobs.history_n))
+    board.write.mode("overwrite").partitionBy("section").parquet(os.path.join(out, "dashboard"))
+    sinks.write_table(stream.stream_user_status(spark, recs, spark.read.text(log), knobs.click_prefix),
+                      os.path.join(out, "status"))
+
+
+def kafka_options(servers: str, topic: str, max_offsets: int) -> dict:
+    """New clicks only, and a bounded micro-batch."""
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "latest",
+            "maxOffsetsPerTrigger": str(max_offsets)}
+
+
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="encore.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -71,12 +105,23 @@ def main(argv=None) -> int:
     a.add_argument("--ratings", required=True)
     a.add_argument("--out", required=True)
     a = sub.add_parser("stream")
-    a.add_argument("--clicks", required=True, help="directory of log files")
+    a.add_argument("--clicks", help="directory of log files")
+    a.add_argument("--kafka-servers", help="instead of --clicks; needs Spark's Kafka connector")
+    a.add_argument("--topic", default="clicks")
+    a.add_argument("--max-offsets", type=int, default=100_000, help="most messages of a micro-batch")
     a.add_argument("--similar", required=True, help="similar-item table (long form)")
     a.add_argument("--ratings", required=True, help="stored rating table")
     a.add_argument("--out", required=True)
     a.add_argument("--available-now", action="store_true")
+    a = sub.add_parser("fold")
+    for name in ("--ratings", "--clicks", "--out"):
+        a.add_argument(name, required=True)
+    a = sub.add_parser("views")
+    for name in ("--ratings", "--catalog", "--clicks", "--recs", "--out"):
+        a.add_argument(name, required=True)
     args = p.parse_args(argv)
+    if args.job == "stream" and bool(args.clicks) == bool(args.kafka_servers):
+        p.error("give --clicks or --kafka-servers")
 
     spark = SparkSession.builder.appName(f"encore-{args.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
@@ -86,9 +131,15 @@ def main(argv=None) -> int:
         tune(spark, args.ratings, args.out, args.ranks, args.regs)
     elif args.job == "similar":
         similar(spark, args.ratings, args.out)
+    elif args.job == "fold":
+        fold(spark, args.ratings, args.clicks, args.out)
+    elif args.job == "views":
+        views(spark, args.ratings, args.catalog, args.clicks, args.recs, args.out)
     else:
+        kafka = args.kafka_servers and kafka_options(args.kafka_servers, args.topic, args.max_offsets)
         q = stream.run_stream(spark, args.clicks, args.similar, args.ratings, args.out,
-                              available_now=args.available_now)
+                              available_now=args.available_now, fmt="kafka" if kafka else "text",
+                              options=kafka)
         for query in (q, q.rejects):
             if query is not None:
                 query.awaitTermination()

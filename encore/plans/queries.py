@@ -173,24 +173,33 @@ def q_realtime_recs_latest(spark, d):
 
 
 def q_stream_recs_latest(spark, d):
-    """The Structured Streaming path end to end: the click log written as
-    text, consumed by the stream (keyed queue state + per-batch scoring),
-    then each user's current list read from the sink.  Must equal the batch
-    replay (``realtime_recs_latest``); stream click ids are synthetic, so
-    the comparison leaves ``event_id`` out."""
+    """The Structured Streaming path end to end: the click log arrives as text
+    in three slices of time, each consumed by a restarted stream (keyed queue
+    state restored, earlier clicks read back), with a compaction before the
+    last; then each user's current list is read from the sink.  Must equal
+    the batch replay (``realtime_recs_latest``); stream click ids are
+    synthetic, so the comparison leaves ``event_id`` out."""
     base = scratch_path(spark, "stream")
     stream_sims(spark, d).write.parquet(f"{base}/sims")
     sinks.write_ratings(tables.base_ratings(spark, d), f"{base}/stored")   # uid-clustered
-    (text.format_click_log(tables.clicks(spark, d)).select(F.col("line").alias("value"))
-     .write.text(f"{base}/in"))
-    q = stream.run_stream(spark, f"{base}/in", f"{base}/sims", f"{base}/stored", f"{base}/out",
-                          checkpoint=f"{base}/checkpoint", available_now=True,
-                          round_digits=SCORE_DIGITS)
-    for query in (q, q.rejects):
-        if query is not None:
-            query.awaitTermination()
-            if query.exception() is not None:
-                raise RuntimeError(str(query.exception()))
+    clicks = tables.clicks(spark, d)
+    cuts = clicks.agg(F.percentile_approx("ts", [1 / 3, 2 / 3]).alias("c")).first()["c"] or [0, 0]
+    last = len(cuts)
+    for i in range(last + 1):
+        slice_ = F.lit(True) if i == 0 else F.col("ts") > cuts[i - 1]
+        slice_ = slice_ if i == last else slice_ & (F.col("ts") <= cuts[i])
+        (text.format_click_log(clicks.where(slice_)).select(F.col("line").alias("value"))
+         .write.mode("append").text(f"{base}/in"))
+        q = stream.run_stream(spark, f"{base}/in", f"{base}/sims", f"{base}/stored", f"{base}/out",
+                              checkpoint=f"{base}/checkpoint", available_now=True,
+                              round_digits=SCORE_DIGITS)
+        for query in (q, q.rejects):
+            if query is not None:
+                query.awaitTermination()
+                if query.exception() is not None:
+                    raise RuntimeError(str(query.exception()))
+        if i == last - 1:
+            stream.compact_stream(spark, f"{base}/out")
     return stream.latest_stream_recs(spark, f"{base}/out").select("uid", "mid", "score", "rank")
 
 

@@ -82,7 +82,8 @@ def _queue_state(cap: int, k: int):
         frames = [p for p in pdfs if len(p)]
         if not frames:
             return
-        clicks = pd.concat(frames).sort_values("ts", kind="stable")
+        # equal seconds go by item id, so a retried batch numbers its clicks alike
+        clicks = pd.concat(frames).sort_values(["ts", "mid"], kind="stable")
         mids = clicks["mid"].to_numpy(np.int64)
         n, old = len(mids), np.asarray(queue[::-1], dtype=np.int64)   # oldest first
         # history oldest -> newest, padded so every click has k slots before it

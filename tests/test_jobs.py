@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from encore import jobs
-from encore.sources import tables, text
+from encore.operators import normalize, realtime
+from encore.sources import sinks, tables, text
+from encore.streaming import stream
 
 
 def test_load_tune_similar(spark, workdir, capsys):
@@ -23,3 +25,32 @@ def test_load_tune_similar(spark, workdir, capsys):
                  jobs.DEFAULT.with_(als_rank=8, als_iterations=3))
     sims = spark.read.parquet(f"{w}/out/similar")
     assert sims.count() > 0 and sims.agg(F.max("rank")).first()[0] <= 100
+
+
+def test_fold_and_views(spark, workdir):
+    w = workdir
+    sinks.write_ratings(normalize.zscore(tables.base_ratings(spark, SF001)), f"{w}/ratings")
+    clicks = tables.clicks(spark, SF001)
+    text.format_click_log(clicks).select(F.col("line").alias("value")).write.text(f"{w}/log")
+    tables.catalog(spark, SF001).write.parquet(f"{w}/catalog")
+    jobs.fold(spark, f"{w}/ratings", f"{w}/log", f"{w}/next")
+    before, after = (spark.read.parquet(f"{w}/{p}") for p in ("ratings", "next/ratings"))
+    total = lambda df: df.agg(F.sum("weight")).first()[0]
+    assert total(after) == total(before) + clicks.count()
+    sims = realtime.sequence_clicks(clicks).selectExpr("mid", "mid + 1 nb_mid", "0.5D score").distinct()
+    sims.write.parquet(f"{w}/sims")
+    q = stream.run_stream(spark, f"{w}/log", f"{w}/sims", f"{w}/ratings", f"{w}/recs",
+                          checkpoint=f"{w}/ckpt", available_now=True)
+    q.awaitTermination()
+    q.rejects.awaitTermination()
+    jobs.views(spark, f"{w}/next/ratings", f"{w}/catalog", f"{w}/log", f"{w}/recs", f"{w}/views")
+    board = spark.read.parquet(f"{w}/views/dashboard")
+    assert {r[0] for r in board.select("section").distinct().collect()} >= {"history", "favourites"}
+    status = spark.read.parquet(f"{w}/views/status")
+    assert status.count() == clicks.select("uid").distinct().count()
+    assert status.where("status != 'done'").count() == 0
+
+
+def test_kafka_options_bound_a_batch():
+    o = jobs.kafka_options("h:1", "t", 7)
+    assert o["startingOffsets"] == "latest" and o["maxOffsetsPerTrigger"] == "7" and o["subscribe"] == "t"
