@@ -16,7 +16,8 @@ half.  A card's last digit is computed anew; country codes, the mail domain and
 the prefix of an access key stay.
 
 The text is cut at the matches and joined again, so a row is worked on by
-itself in one scan.  Texts without a digit are not searched.  Defined
+itself in one scan.  A text is searched when it holds what some kind needs: a
+digit, an ``@``, ``AKIA`` or 20 letters a-f in a row.  Defined
 results: a null text stays null, an empty one empty; a match that fails its
 validation stays as it is; repeated rows and ids are treated alike.
 """
@@ -46,6 +47,7 @@ PHONE = (r"(?<![\w+])\+?\d{1,3}[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
 IPV4 = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w)(?!\.\d)"
 CARD = r"(?<!\w)\d(?:[ -]?\d){12,18}(?!\w)"
 ANY = "|".join([EMAIL, ACCESS_KEY, HEX_KEY, DATE, SSN, PHONE, IPV4, CARD])
+MAY_HOLD = "[0-9@]|AKIA|[a-f]{20}"      # every match of ANY holds one of these
 
 DATE_FORMATS = {r"^\d{4}-": "yyyy-MM-dd", r"^\d{2}/": "MM/dd/yyyy", r"^\d{2}\.": "dd.MM.yyyy"}
 DAY_ZERO = "1900-01-01"
@@ -164,7 +166,7 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
 
 def _masked(text: Column, key: str) -> Column:
     """``(text, n_found)`` of one text."""
-    found = F.when(text.rlike("[0-9]"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    found = F.when(text.rlike(MAY_HOLD), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
 
     def joined(ms: Column) -> Column:
         gaps = F.split(text, ANY, -1)
