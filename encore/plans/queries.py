@@ -278,7 +278,7 @@ def q_als_grid(spark, d):
 
 def q_als_grid_best(spark, d):
     train, test = factors.train_test(zscored(spark, d))
-    return factors.best_config(factors.grid_search(train, test, DEFAULT.grid_ranks[:2]))
+    return factors.best_config(factors.grid_search(train, test))
 
 
 def q_best_config(spark, d):
@@ -299,7 +299,7 @@ def q_als_factor_shape(spark, d):
 def q_als_test_pairs(spark, d):
     """OP-16/32: the test pairs that get a prediction (user and item trained)."""
     train, test = factors.train_test(materialize(zscored(spark, d)))
-    als = factors.model_rmse(factors.fit_factors(train, rank=20), test)
+    als = factors.model_rmse(factors.fit_factors(train), test)
     return als.select("n", F.col("rmse").isNotNull().alias("has_rmse"))
 
 
