@@ -1,6 +1,7 @@
 r"""Personal data: format-preserving Feistel pseudonyms, in SQL functions only.
 
-Emails, phone and social-security numbers, IPv4 addresses, card numbers,
+Emails, phone (North American, or international with a plus sign) and
+social-security numbers, IPv4 addresses, card numbers,
 access keys and dates are found by one pattern, validated by kind (octets up
 to 255, Luhn digit, real calendar date) and permuted within their own format
 by a keyed Feistel network.  A pseudonym has the separators, letter case,
@@ -10,7 +11,8 @@ document, and different values of a format stay different.
 A value is a list of numbers with their moduli: digits modulo 10, letters
 modulo their alphabet, octets modulo the count of octets of their length (one
 with leading zeros is not valid), a date's day within 73,080 days
-(280 x 261, about two centuries).  Each of eight rounds adds to one half of
+(280 x 261, about two centuries).  A slash date is MM/dd/yyyy where that is a
+date, else dd/MM/yyyy; the latter moves among the days after the 12th.  Each of eight rounds adds to one half of
 the list a key stream derived by SHA-2 from the key, the round and the other
 half.  A card's last digit is computed anew; country codes, the mail domain and
 the prefix of an access key stay.
@@ -44,15 +46,24 @@ DATE = (r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])|(?<![\w/])\d{2}/\d{2}/\d{4}(?![\w
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 PHONE = (r"(?<![\w+])\+?\d{1,3}[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)"
          r"|(?<![\w.(+])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)")
+# international numbers: +1 and +7 with 10 digits, +33 and +34 with 9, others with 6 to 12;
+# a sign, digits and 4 to 7 decimals are a coordinate
+_CODE = r"(?>[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+_TRUNK = r"(?:[ .-]?\(0\))?"
+_NEXT = r"(?:[ ./-]?\(?\d\)?)"
+INTERNATIONAL = (rf"(?<![\w+])\+(?!\d+\.\d{{4,7}}(?!\d|[./-]\d))(?:[17]{_NEXT}{{9}}|3[34]{_TRUNK}{_NEXT}{{8}}"
+                 rf"|(?![17]|3[34]){_CODE}{_TRUNK}{_NEXT}{{5,11}})[ ./-]?\d(?!\w)")
+UNSEPARATED = r"(?<![\w.+-])1?[2-9]\d{2}[2-9]\d{6}(?![\w-]|\.\d)"
 IPV4 = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w)(?!\.\d)"
 CARD = r"(?<!\w)\d(?:[ -]?\d){12,18}(?!\w)"
-ANY = "|".join([EMAIL, ACCESS_KEY, HEX_KEY, DATE, SSN, PHONE, IPV4, CARD])
+ANY = "|".join([EMAIL, ACCESS_KEY, HEX_KEY, DATE, SSN, PHONE, INTERNATIONAL, UNSEPARATED, IPV4, CARD])
 MAY_HOLD = "[0-9@]|AKIA|[a-f]{20}"      # every match of ANY holds one of these
 
 DATE_FORMATS = {r"^\d{4}-": "yyyy-MM-dd", r"^\d{2}/": "MM/dd/yyyy", r"^\d{2}\.": "dd.MM.yyyy"}
 DAY_ZERO = "1900-01-01"
 DAYS = (280, 261)
 FIRST_YEAR, LAST_YEAR = 1500, 2499
+LATE_DAYS = (216, 205)   # days after the 12th of a month, about two centuries
 
 
 def feistel(values: Column, moduli: Column, salt: Column) -> Column:
@@ -144,6 +155,40 @@ def _date(m: Column, salt: Column, fmt: str) -> Column:
     return _let(day, lambda d: F.when(F.year(d).between(FIRST_YEAR, LAST_YEAR), permuted(d)).otherwise(m))
 
 
+def _late_date(m: Column, salt: Column) -> Column:
+    """A dd/MM/yyyy date that cannot be MM/dd/yyyy moves among its like, the
+    days after the 12th, so it never takes the pseudonym of a MM/dd/yyyy date."""
+    span = LATE_DAYS[0] * LATE_DAYS[1]
+    zero = F.lit(DAY_ZERO).cast("date")
+    # number of late days before a month, counted from the first of DAY_ZERO's
+    before = lambda month: F.datediff(F.add_months(zero, month), zero) - 12 * month
+
+    def late_day(n: Column) -> Column:
+        near = F.floor(n / 18.436875).cast("int")      # mean late days of a month
+        months = F.transform(F.sequence(near - 2, near + 2), lambda k: F.struct(k.alias("k"), before(k).alias("n")))
+        return _let(F.array_max(F.filter(months, lambda x: x["n"] <= n)),
+                    lambda x: F.date_add(F.add_months(zero, x["k"]), (n - x["n"] + 12).cast("int")))
+
+    def permuted(day: Column) -> Column:
+        n = F.datediff(day, zero) - 12 * (F.year(day) * 12 + F.month(day) - F.lit(1900 * 12 + 1)) - 12
+        window, rest = F.floor(n / span).cast("int"), F.pmod(n, F.lit(span))
+        parts = F.array(F.floor(rest / LATE_DAYS[1]).cast("int"), (rest % LATE_DAYS[1]).cast("int"))
+        return _let(feistel(parts, F.array(*map(F.lit, LATE_DAYS)), salt), lambda v: _let(
+            window * span + v[0] * LATE_DAYS[1] + v[1], lambda i: F.date_format(late_day(i), "dd/MM/yyyy")))
+
+    return _let(F.try_to_date(m, "dd/MM/yyyy"), lambda d: F.when(
+        F.year(d).between(FIRST_YEAR, LAST_YEAR) & (F.day(d) > 12), permuted(d)).otherwise(m))
+
+
+def _unseparated(m: Column, salt: Column) -> Column:
+    # ten digits; area and exchange begin with 2 to 9
+    digits = F.filter(F.split(m, ""), lambda c: c != "")
+    low = lambda i: F.when((i == 0) | (i == 3), 2).otherwise(0)
+    return _let(digits, lambda ds: _let(
+        feistel(F.transform(ds, lambda c, i: c.cast("int") - low(i)), F.transform(ds, lambda c, i: 10 - low(i)), salt),
+        lambda vs: F.array_join(F.transform(vs, lambda v, i: (v + low(i)).cast("string")), "")))
+
+
 def pseudonym(m: Column, key: str = KEY) -> Column:
     """The pseudonym of one match."""
     salt = lambda kind: F.lit(f"{key}|{kind}")
@@ -155,10 +200,19 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
     out = out.when(whole(ACCESS_KEY), F.concat(F.lit("AKIA"), characters(
         F.substring(m, F.lit(5), F.lit(16)), salt("key"))))
     for pattern, fmt in DATE_FORMATS.items():
-        out = out.when(whole(DATE) & m.rlike(pattern), _date(m, salt("date"), fmt))
+        dates = _date(m, salt("date"), fmt)
+        if fmt == "MM/dd/yyyy":
+            dates = F.when(F.try_to_date(m, fmt).isNull(), _late_date(m, salt("late"))).otherwise(dates)
+        out = out.when(whole(DATE) & m.rlike(pattern), dates)
     out = out.when(whole(SSN), characters(m, salt("ssn")))
     out = out.when(whole(PHONE), F.concat(country, characters(
         F.substring(m, F.char_length(country) + 1, F.char_length(m)), salt("phone"))))
+    abroad = F.regexp_extract(m, rf"^\+{_CODE}{_TRUNK}[ ./-]?", 0)
+    out = out.when(whole(INTERNATIONAL), F.concat(abroad, characters(
+        F.substring(m, F.char_length(abroad) + 1, F.char_length(m)), salt("phone"))))
+    out = out.when(whole(UNSEPARATED), F.concat(
+        F.substring(m, F.lit(1), F.char_length(m) - 10),
+        _unseparated(F.substring(m, F.char_length(m) - 9, F.lit(10)), salt("digits"))))
     out = out.when(whole(IPV4), _ipv4(m, salt("ip")))
     out = out.when(whole(HEX_KEY), characters(m, salt("hex"), hexadecimal=True))
     return out.when(whole(CARD), _card(m, salt("card"))).otherwise(m)

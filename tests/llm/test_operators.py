@@ -184,6 +184,26 @@ def test_pii_in_texts_without_a_digit(spark):
     assert got[6]["text"] == texts[6] and got[6]["n"] == 0
 
 
+def test_pii_day_first_dates_and_phone_forms(spark):
+    from datetime import date, timedelta
+    values = ["25/12/2024", "31/01/1600", "+33 6 12 34 56 78", "+33 (0)6 12 34 56 78", "+49 30 1234567",
+              "+34 612 345 678", "+17025550742", "7025550742", "17025550742", "+1 702 555 0742"]
+    stays = ["31/02/2024", "+48.856614", "1700000000", "0.7025550742", "99/99/2024"]
+    tail = [" now" if v.startswith("+49") else " 10 people" for v in values + stays]
+    texts = [f"on {v}{e}" for v, e in zip(values + stays, tail)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["text"] for r in pii.mask(rows).orderBy("doc_id").collect()]
+    keep = ["", "", "+33 ", "+33 (0)", "+49 ", "+34 ", "+1", "", "1", "+1 "]
+    for v, k, t, g, e in zip(values, keep, texts, got, tail):
+        assert v not in g and len(g) == len(t) and g.startswith("on " + k) and g.endswith(e), (v, g)
+    assert got[len(values):] == texts[len(values):]
+    # day-first dates stay dates that are not month-first, and no two share a pseudonym
+    days = [date(2023, 12, 1) + timedelta(i) for i in range(120)]
+    days = [(d.strftime("%d/%m/%Y"),) for d in days if d.day > 12]
+    out = [r["v"] for r in pii.mask(spark.createDataFrame(days, "v string"), "v").collect()]
+    assert len(set(out)) == len(days) and all(date(int(v[6:]), int(v[3:5]), int(v[:2])).day > 12 for v in out)
+
+
 def test_packing(docs, empty):
     rows = packing.pack(docs, buckets=3, budget=1000).collect()
     assert len(rows) == len(TEXTS) and packing.pack(empty).count() == 0
