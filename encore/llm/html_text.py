@@ -2,8 +2,9 @@
 
 A page becomes blocks: runs of text between block-level tags, with white space
 folded, references decoded, and the share of the text inside links.  Containers
-that are page furniture by name (menus, footers, forms, adverts, comments) or
-hidden are ruled out before any text is judged.
+that are page furniture (menus, footers, forms, adverts, comments; by tag, role
+or a whole class or id) or hidden are ruled out before any text is judged; the
+page itself, articles and headings never by class or id.
 
 First pass, each block on its own: many links make it bad; enough text with
 enough stop words makes it good; a short block, or one with few stop words, is
@@ -48,6 +49,15 @@ FURNITURE = frozenset(
     "recommended newsletter subscribe subscription popup modal overlay login signup widget widgets pagination "
     "pager search toolbar topbar skip".split())
 OUTSIDE_ONLY = frozenset(["header"])         # fine inside an article
+# words that may stand beside a name of furniture in a class or id (sidebar-left, cookie-box)
+BESIDE = frozenset(
+    "area bar block body bottom box btn button buttons center col column container content desktop entry fixed "
+    "form global group holder icon icons inner item items js left link links list main mobile module mw page pane "
+    "panel post posts primary right row secondary section site slot sticky top unit wp wrap wrapper".split())
+# names that rule out a paragraph, or a section by its id (which generators make from the heading)
+SURE = frozenset("ad ads advert adverts advertisement sponsored comments respond disqus breadcrumbs navbar "
+                 "sidebar masthead".split())
+NEVER_BY_NAME = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 BAD_TAGS = frozenset("head nav footer aside form button select option dialog menu iframe object noscript "
                      "template svg canvas audio video".split())
@@ -61,24 +71,36 @@ TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW_TAGS})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*(?:>|\Z)", re.S | re.I)
-ATTR = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-NAME = re.compile(r"[a-z]+")
+NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+
+
+def _named(names: str, furniture: frozenset[str]) -> bool:
+    """Is a whole class or id furniture: its words, or all but those of BESIDE?"""
+    for name in names.split():
+        words = {w.lower() for w in NAME.findall(name) if len(w) > 1}
+        if words & furniture and words <= furniture | BESIDE:
+            return True
+    return False
 
 
 def _is_furniture(tag: str, attrs: str, in_article: bool) -> bool:
     if tag in BAD_TAGS or (tag in OUTSIDE_ONLY and not in_article):
         return True
-    for key, value in ATTR.findall(attrs) if attrs else ():
-        key, value = key.lower(), value.strip("\"'").lower()
-        if key in ("class", "id"):
-            names = set(NAME.findall(value))
-            if names & FURNITURE or (names & OUTSIDE_ONLY and not in_article):
-                return True
-        elif (key == "hidden" or (key == "role" and value in BAD_ROLES)
-              or (key == "aria-hidden" and value == "true") or (key == "style" and HIDDEN.search(value))):
-            return True
-    return False
+    if not attrs:
+        return False
+    given: dict[str, str] = {}
+    for key, value in ATTR.findall(attrs):
+        given.setdefault(key.lower(), value.strip("\"'"))       # the first of a name counts
+    if ("hidden" in given or given.get("role", "").lower() in BAD_ROLES
+            or given.get("aria-hidden", "").lower() == "true" or HIDDEN.search(given.get("style", ""))):
+        return True
+    if tag in NEVER_BY_NAME:
+        return False
+    names = FURNITURE if in_article else FURNITURE | OUTSIDE_ONLY
+    return (_named(given.get("class", ""), SURE if tag == "p" else names)
+            or _named(given.get("id", ""), SURE if tag in ("p", "section") else names))
 
 
 class _Block:

@@ -239,6 +239,23 @@ def test_html_blocks(spark):
     assert got[2] == "" and got[3] == ""
 
 
+def test_html_furniture_by_whole_names():
+    text = "The story of the town is that it was by the river and for a long time it was the only one."
+    for page in (f"<body class='has-sidebar'><p>{text}</p></body>",
+                 f"<article><section id='related-work'><p>{text}</p></section></article>",
+                 f"<article><section id='search'><p>{text}</p></section></article>",
+                 f"<article class='widget'><p>{text}</p></article>",
+                 f"<article><p class='social'>{text}</p></article>",
+                 f"<article><p title='a hidden place' data-class='ad'>{text}</p></article>",
+                 f"<article><p><a href='/guide/hidden-gems'>The story</a>{text[9:]}</p></article>"):
+        assert html_text.main_text(page) == text, page
+    assert html_text.main_text("<article><h2 id='search-algorithms'>Search</h2><h2 id=search>It</h2></article>") == (
+        "Search\nIt")
+    for attrs in ("class='ad'", "class='x cookie-notice'", "id=sidebar-2", "class=relatedPosts", "hidden",
+                  "style='display: none'", "role=navigation", "aria-hidden='true'", "class='ad' class='y'"):
+        assert html_text.main_text(f"<article><div {attrs}>{text}</div></article>") == "", attrs
+
+
 def test_url_rules_and_trees(spark):
     urls = [(1, "https://WWW.Example.com/en/x"), (2, "http://a.example.com/en/1?x=/"), (3, "http://b.example.com/fr/1"),
             (4, "http://example.net/es/1"), (5, "http://example.net"), (6, None), (7, "no scheme"),
