@@ -1,6 +1,8 @@
 """Packing: optimal length buckets and token-budget batches.
 
-Lengths (words) are counted in one scan.  The global histogram has one bin for
+A length is what the caller gives as ``length_col`` (token counts, such as
+``n_tokens`` of op8), and without it the count of words between white space: a
+text written without spaces is then one word.  Lengths are read in one scan.  The global histogram has one bin for
 every length up to 512 and 256 bins an octave above, so it has at most some
 thousand rows whatever the input; each bin knows its row count, its sum and its
 greatest length.  Dynamic programming over the bins chooses the bucket bounds
@@ -10,10 +12,10 @@ the order of a hash of the id, and every ``budget // bound`` of them form a
 batch.  Numbering splits a bucket into range slices, so no bucket meets in one
 task.
 
-Defined results: null and empty texts have length 0 and lie in the first
-bucket.  A text longer than the budget forms a batch of its own.  Null and
-repeated ids are placed like others, each row once.  Only the id and the text
-are read.
+Defined results: null and empty texts, and null given lengths, have length 0
+and lie in the first bucket.  A text longer than the budget forms a batch of its own.  Null and
+repeated ids are placed like others, each row once.  Only the id and the
+text, or the given length, are read.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from encore.llm.quality_rules import words
 from encore.session import materialize
 
 BUCKETS = 16
-BUDGET = 65_536          # padded words of a batch
+BUDGET = 65_536          # padded length of a batch
 EXACT_BITS = 9           # lengths below 2^9 have their own bins
 
 
@@ -67,10 +69,11 @@ def optimal_bounds(rows: np.ndarray, total: np.ndarray, top: np.ndarray, buckets
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS,
-         budget: int = BUDGET) -> DataFrame:
-    """``(id_col, n_tokens, bucket, bucket_len, batch, slot)`` of every row."""
-    lengths = materialize(docs.select(F.col(id_col).alias("_id"),
-                                      F.size(words(F.col(text_col))).cast("long").alias("n_tokens")), "lengths")
+         budget: int = BUDGET, length_col: str | None = None) -> DataFrame:
+    """``(id_col, n_tokens, bucket, bucket_len, batch, slot)`` of every row;
+    ``length_col`` names a column with the lengths, words are counted without it."""
+    length = F.coalesce(F.col(length_col), F.lit(0)) if length_col else F.size(words(F.col(text_col)))
+    lengths = materialize(docs.select(F.col(id_col).alias("_id"), length.cast("long").alias("n_tokens")), "lengths")
     # at most 512 + 256 an octave rows
     h = sorted(histogram(lengths).collect(), key=lambda r: r["top"])
     if not h:

@@ -224,6 +224,14 @@ def test_packing(docs, empty):
         assert cost(packing.optimal_bounds(n, n * top, top, 3)) == best
 
 
+def test_packing_by_given_lengths(spark):
+    rows = [(i, "文" * 600, 600) for i in range(4)] + [(4, "a b", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    got = packing.pack(docs, buckets=2, budget=1200, length_col="n").collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == {0: 600, 1: 600, 2: 600, 3: 600, 4: 0}
+    assert sorted((r["batch"], r["slot"]) for r in got if r["doc_id"] < 4) == [(0, 0), (0, 1), (1, 0), (1, 1)]
+
+
 def test_html_blocks(spark):
     page = """<html><head><title>T</title><script>var t="</p>";</script></head><body><header><h1>Site</h1></header>
     <nav><a href=x>Home</a></nav><div class="cookie-notice">We use cookies on this site and for all of it.</div>
