@@ -59,18 +59,19 @@ _BITS = pa.schema([("at", pa.int32()), ("mask", pa.int64())])
 _WORDS = ["w1", "w2", "w3"]
 
 
-def _tokens(text: bytes) -> Iterator[list[bytes]]:
+def _tokens(text: bytes, chunk: int) -> Iterator[list[bytes]]:
     """Words of a text in chunks, a stop wherever a piece ends."""
     t = text.lower().translate(_TABLE).replace(_STOP, b" " + _STOP + b" ")
     at = 0
     while at < len(t):
-        end = t.find(b" ", at + CHUNK)
+        end = t.find(b" ", at + chunk)
         end = len(t) if end < 0 else end
         yield t[at:end].split()
         at = end
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], int]]:
+def _blocks(batches: Iterator[pa.RecordBatch], size: int,
+            chunk: int) -> Iterator[tuple[str, list[bytes], int]]:
     """``(lang, words, first)``: phrases that end at ``first`` or later are new."""
     open_: dict[str, list] = {}
     held = 0
@@ -80,10 +81,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes
                 continue
             words = open_.setdefault(lang, [[], 0])
             words[0].append(_STOP)
-            for chunk in _tokens(text.as_buffer().to_pybytes()):
-                words[0].extend(chunk)
-                held += len(chunk) + 1
-                if held >= BLOCK:
+            for part in _tokens(text.as_buffer().to_pybytes(), chunk):
+                words[0].extend(part)
+                held += len(part) + 1
+                if held >= size:
                     for name, (block, first) in open_.items():
                         yield name, block, first
                     # the last two words may begin phrases of the next block
@@ -102,13 +103,13 @@ def _coded(words: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return names.cast(pa.string()), code, code != stop
 
 
-def _counted(code: np.ndarray, ok: np.ndarray, size: int, base: int, first: int):
+def _counted(code: np.ndarray, ok: np.ndarray, size: int, first: int):
     """Code columns and counts of the distinct phrases of ``size`` words."""
     n = len(code) - size + 1
     if n <= 0:
         return [np.empty(0, np.int64)] * size, np.empty(0, np.int64)
-    good = ok[:n].copy()
-    packed = code[:n].copy()
+    base = int(code.max()) + 1
+    good, packed = ok[:n].copy(), code[:n].copy()
     for k in range(1, size):
         good &= ok[k:n + k]
         packed *= base
@@ -130,24 +131,26 @@ def _rows(lang: str, names: pa.Array, cols: list[np.ndarray], count: np.ndarray)
         schema=_GRAMS)
 
 
-def _short_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _short_phrases(size: int, chunk: int):
     """Counts of one and two words; a row without words counts all words."""
-    for lang, words, first in _blocks(batches):
-        names, code, ok = _coded(words)
-        total = int(ok[first:].sum())
-        yield pa.RecordBatch.from_arrays([pa.array([lang])] + [pa.nulls(1, pa.string())] * 3
-                                         + [pa.array([total], pa.int64())], schema=_GRAMS)
-        for size in (1, 2):
-            yield _rows(lang, names, *_counted(code, ok, size, len(names), first))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, words, first in _blocks(batches, size, chunk):
+            names, code, ok = _coded(words)
+            total = pa.array([int(ok[first:].sum())], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([lang])] + [pa.nulls(1, pa.string())] * 3 + [total],
+                                             schema=_GRAMS)
+            for k in (1, 2):
+                yield _rows(lang, names, *_counted(code, ok, k, first))
+    return run
 
 
-def _pair_places(left: np.ndarray, right: np.ndarray) -> list[np.ndarray]:
+def _pair_places(left: np.ndarray, right: np.ndarray, bits: int) -> list[np.ndarray]:
     """Two places of a pair in the bit table, from the hashes of its words."""
     x = left * np.uint64(0x9E3779B97F4A7C15) + right * np.uint64(0xC2B2AE3D27D4EB4F)
     x ^= x >> np.uint64(32)
     x *= np.uint64(0xFF51AFD7ED558CCD)
     x ^= x >> np.uint64(29)
-    return [x % np.uint64(FILTER_BITS), (x >> np.uint64(32)) % np.uint64(FILTER_BITS)]
+    return [x % np.uint64(bits), (x >> np.uint64(32)) % np.uint64(bits)]
 
 
 def _word_hashes(names, lang: str) -> np.ndarray:
@@ -155,66 +158,67 @@ def _word_hashes(names, lang: str) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(w, seed=seed) for w in names], np.uint64)
 
 
-def _pair_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pair_bits(bits: int):
     """``(at, mask)``: 64 places of the bit table that pairs of this task set."""
-    for batch in batches:
-        langs, one, two = (batch.column(c).to_pylist() for c in ("lang", "w1", "w2"))
-        seeds = {x: xxhash.xxh32_intdigest(x) for x in set(langs)}
-        left, right = (np.array([xxhash.xxh3_64_intdigest(w, seed=seeds[x]) for w, x in zip(ws, langs)], np.uint64)
-                       for ws in (one, two))
-        place = np.unique(np.concatenate(_pair_places(left, right)))
-        at, start = np.unique((place >> np.uint64(6)).astype(np.int32), return_index=True)
-        bit = np.uint64(1) << (place & np.uint64(63))
-        mask = np.bitwise_or.reduceat(bit, start) if len(bit) else bit
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(mask.view(np.int64))], schema=_BITS)
-
-
-def _pair_filter(pairs: DataFrame) -> np.ndarray:
-    """The bit table of these pairs; at most ``FILTER_BITS / 64`` rows come back."""
-    bits = (pairs.select("lang", "w1", "w2").mapInArrow(_pair_bits, "at int, mask long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, one, two = (batch.column(c).to_pylist() for c in ("lang", "w1", "w2"))
+            seeds = {x: xxhash.xxh32_intdigest(x) for x in set(langs)}
+            left, right = (np.array([xxhash.xxh3_64_intdigest(w, seed=seeds[x]) for w, x in zip(ws, langs)], np.uint64)
+                           for ws in (one, two))
+            place = np.unique(np.concatenate(_pair_places(left, right, bits)))
+            at, start = np.unique((place >> np.uint64(6)).astype(np.int32), return_index=True)
+            bit = np.uint64(1) << (place & np.uint64(63))
+            mask = np.bitwise_or.reduceat(bit, start) if len(bit) else bit
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(mask.view(np.int64))], schema=_BITS)
+    return run
+
+
+def _pair_filter(pairs: DataFrame, bits: int) -> np.ndarray:
+    """The bit table of these pairs; at most ``bits / 64`` rows come back."""
+    rows = (pairs.select("lang", "w1", "w2").mapInArrow(_pair_bits(bits), "at int, mask long")
             .groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow())
-    table = np.zeros(FILTER_BITS // 64, np.uint64)
-    table[bits.column("at").to_numpy()] = bits.column("mask").to_numpy().view(np.uint64)
+    table = np.zeros(-(-bits // 64), np.uint64)
+    table[rows.column("at").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64)
     return table
 
 
-def _long_phrases(shared):
+def _long_phrases(shared, bits: int, size: int, chunk: int):
     """Counts of three words whose pairs may both be frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        for lang, words, first in _blocks(batches):
+        for lang, words, first in _blocks(batches, size, chunk):
             if len(words) < 3:
                 continue
             names, code, ok = _coded(words)
             hashes = _word_hashes(names.cast(pa.binary()).to_pylist(), lang)[code]
-            n = len(code) - 2
-            pair = np.ones(n + 1, bool)
-            for place in _pair_places(hashes[:n + 1], hashes[1:n + 2]):
+            pair = np.ones(len(code) - 1, bool)
+            for place in _pair_places(hashes[:-1], hashes[1:], bits):
                 pair &= (table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-            good = ok[:n] & ok[1:n + 1] & ok[2:] & pair[:n] & pair[1:]
-            good[:max(0, first - 2)] = False
-            base = len(names)
-            found, count = np.unique((code[:n][good] * base + code[1:n + 1][good]) * base + code[2:][good],
-                                     return_counts=True)
-            rest, three = np.divmod(found, base)
-            one, two = np.divmod(rest, base)
-            yield _rows(lang, names, [one, two, three], count.astype(np.int64))
+            # only words of a phrase that may be frequent take part
+            begins = pair[:-1] & pair[1:]
+            part = np.zeros(len(code), bool)
+            for k in range(3):
+                part[k:len(code) - 2 + k] |= begins
+            cols, count = _counted(code, ok & part, 3, first)
+            yield _rows(lang, names, cols, count)
     return run
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                  min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
+                  min_count: int = MIN_COUNT, block: int = BLOCK, chunk: int = CHUNK,
+                  filter_bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """``(lang, w1, w2, w3, f)`` of phrases of one to three words that occur
     ``min_count`` times (absent words are null), and ``(lang, n)``."""
     src = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"),
                       F.col(text_col).cast("binary").alias("_text"))
     short = materialize(
-        src.mapInArrow(_short_phrases, _GRAMS_DDL).groupBy("lang", *_WORDS).agg(F.sum("c").alias("f"))
+        src.mapInArrow(_short_phrases(block, chunk), _GRAMS_DDL).groupBy("lang", *_WORDS).agg(F.sum("c").alias("f"))
         .where(F.col("w1").isNull() | (F.col("f") >= min_count)), "phrases")
     totals = short.where("w1 IS NULL").select("lang", F.col("f").alias("n"))
     short = short.where("w1 IS NOT NULL")
-    shared = docs.sparkSession.sparkContext.broadcast(_pair_filter(short.where("w2 IS NOT NULL")))
-    long = (src.mapInArrow(_long_phrases(shared), _GRAMS_DDL).groupBy("lang", *_WORDS)
+    shared = docs.sparkSession.sparkContext.broadcast(_pair_filter(short.where("w2 IS NOT NULL"), filter_bits))
+    long = (src.mapInArrow(_long_phrases(shared, filter_bits, block, chunk), _GRAMS_DDL).groupBy("lang", *_WORDS)
             .agg(F.sum("c").alias("f")).where(F.col("f") >= min_count))
     return short.unionByName(long), totals
 
@@ -262,10 +266,11 @@ def _lockstep(stream: DataFrame, keys: list, names: tuple[str, str]) -> DataFram
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_count: int = MIN_COUNT,
-                 absorb_percent: int = ABSORB_PERCENT, top: int = TOP) -> DataFrame:
+                 absorb_percent: int = ABSORB_PERCENT, top: int = TOP, **sizes: int) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: the ``top`` phrases of two
-    or three words of each language by score, count and phrase."""
-    counts, totals = phrase_counts(docs, text_col, lang_col, min_count)
+    or three words of each language by score, count and phrase.  ``sizes`` are
+    the block, chunk and filter sizes of ``phrase_counts``."""
+    counts, totals = phrase_counts(docs, text_col, lang_col, min_count, **sizes)
     w1, w2, w3 = (F.col(w) for w in _WORDS)
     prefix = _lockstep(counts, [w1, w2, w3], ("first", "first_two"))
     last = F.coalesce(w3, w2, w1)
