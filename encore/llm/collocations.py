@@ -42,8 +42,8 @@ from encore.session import materialize
 MIN_COUNT = 10             # occurrences of a candidate
 ABSORB_PERCENT = 50        # a longer candidate with this share of the count absorbs it
 TOP = 2000                 # reported phrases of a language
-BLOCK = 1 << 20            # words counted at once in a task
-CHUNK = 1 << 20            # bytes of a text split at once
+BLOCK = 1 << 17            # words counted at once in a task
+CHUNK = 1 << 18            # bytes of a text split at once
 FILTER_BITS = 1 << 26      # bit table of the frequent pairs (8 MiB)
 
 # Characters that end a piece, and the blanks between words.
