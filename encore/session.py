@@ -58,16 +58,45 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+_scratch: dict[str, list[str]] = {}      # application id -> folders made and not yet released
+
+
+def _hadoop(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder, dropped when the
-    application ends (the file system's own delete-on-exit list)."""
+    """A fresh sub-folder of the shared checkpoint folder, dropped by
+    ``release`` or else when the application ends (the file system's own
+    delete-on-exit list)."""
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    fs, where = _hadoop(spark, path)
+    fs.deleteOnExit(where)
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
 
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """The scratch folders of this application that are not released yet."""
+    return list(_scratch.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, paths: list[str], reader: DataFrame | None = None) -> None:
+    """Drop scratch folders whose readers are done (their results are written).
+    Folders that ``reader`` still reads stay.  Only folders made by
+    ``scratch_path`` in this application are ever dropped."""
+    held = _scratch.get(spark.sparkContext.applicationId, [])
+    used = reader.inputFiles() if reader is not None else []
+    for path in [p for p in paths if p in held]:
+        name = path.rsplit("/", 1)[1]
+        if any(f"/{name}/" in f for f in used):
+            continue
+        fs, where = _hadoop(spark, path)
+        fs.delete(where, True)
+        held.remove(path)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
