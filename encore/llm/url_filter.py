@@ -6,7 +6,8 @@ that a rule decides is a labelled URL.  Trees learn from the lexical features
 of those URLs (length, depth, digit ratio, entropy, parameter counts and the
 block rates of the host's suffixes) and judge the rest.
 
-The suffix statistics count all labelled URLs.  The trees are fitted on at
+The suffix statistics count all labelled URLs; a training row sees them without
+its own quarter of the URLs.  The trees are fitted on at
 most about ``TRAIN_URLS`` distinct labelled URLs, taken by a hash of the URL,
 so the same URLs are taken at any partitioning.  Rules are a short list given
 by the user (at most ``MAX_RULES``); they become column expressions.
@@ -27,13 +28,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from encore.llm.names import quoted
 from encore.session import materialize
 
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
          ("block", "net/es/"), ("block", "net/fr/"))
 MAX_RULES = 1000
 TRAIN_URLS = 20_000      # bound of the trees' training sample
+TRAIN_TASKS = 4          # tasks that hold the written sample while the trees grow
 TREES, DEPTH = 8, 3
+FOLDS = 4                # a training row's suffix rates leave out its own fold
 PRIOR = 10.0             # weight of the overall block rate in a suffix's rate
 
 FEATURES = ["length", "depth", "digit_ratio", "entropy", "n_params", "n_labels", "hyphens",
@@ -42,8 +46,10 @@ FEATURES = ["length", "depth", "digit_ratio", "entropy", "n_params", "n_labels",
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     u = F.coalesce(url, F.lit(""))
-    host = F.regexp_extract(u, r"(?s)^.*?://([^/?#]*)", 1)
-    path = F.regexp_extract(u, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1)
+    at = F.instr(u, "://")
+    rest = F.when(at > 0, F.substring(u, at + 3, F.char_length(u))).otherwise(F.lit(""))
+    host = F.regexp_extract(rest, r"^[^/?#]*", 0)
+    path = F.regexp_extract(rest, r"^[^/?#]*(/[^?#]*)", 1)
     lower = F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return lower, path
 
@@ -84,11 +90,21 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     }
 
 
+def _fold(url: Column) -> Column:
+    return F.pmod(F.xxhash64(url, F.lit(1)), F.lit(FOLDS)).cast("int")
+
+
 def _rates(labelled: DataFrame, suffix: str, overall: float) -> DataFrame:
-    """Smoothed block rate of each host suffix over all labelled URLs."""
+    """Smoothed block rate of each host suffix over all labelled URLs, and
+    without those of each fold, for the rows of that fold."""
+    fold = _fold(F.col("_url"))
+
+    def rate(where: Column) -> Column:
+        return ((F.coalesce(F.sum(F.when(where, F.col("label"))), F.lit(0.0)) + F.lit(PRIOR * overall))
+                / (F.count_if(where) + F.lit(PRIOR)))
     return labelled.groupBy(suffix).agg(
-        ((F.sum("label") + F.lit(PRIOR * overall)) / (F.count(F.lit(1)) + F.lit(PRIOR)))
-        .alias(suffix.replace("suffix", "rate")))
+        rate(F.lit(True)).alias(suffix.replace("suffix", "rate")),
+        F.array(*[rate(fold != k) for k in range(FOLDS)]).alias(suffix.replace("suffix", "without")))
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES,
@@ -96,7 +112,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     """``(id_col, host, path, rule, verdict, score)`` of every row; ``score``
     is the trees' probability of ``block``, null where a rule decided."""
     host, path = host_and_path(F.col("_url"))
-    rows = (pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"))
+    rows = (pages.select(pages[quoted(id_col)].alias("_id"), pages[quoted(url_col)].alias("_url"))
             .withColumns({"host": host, "path": path}))
     rule, kind = matching_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "kind": kind})
@@ -120,15 +136,18 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     overall = blocked / n
     rates = {s: materialize(_rates(seen, s, overall), "rates") for s in ("suffix_1", "suffix_2")}
 
-    def featured(df: DataFrame) -> DataFrame:
+    def featured(df: DataFrame, training: bool = False) -> DataFrame:
         df = reduce(lambda x, s: x.join(rates[s], s, "left"), rates, df)
+        if training:      # a rate that knows the row's own label would give it away
+            df = df.withColumns({f"rate_{k}": F.get(f"without_{k}", _fold(F.col("_url"))) for k in (1, 2)})
         return df.fillna(overall, ["rate_1", "rate_2"])
 
     share = min(1.0, train_urls / n)
     sample = seen.where(F.pmod(F.xxhash64("_url"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
     vector = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    train = materialize(vector.transform(featured(sample)).select("features", "label").coalesce(4), "train")
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7).fit(train)
+    # the sample is written by the tasks that read it, and gathered only then
+    train = materialize(vector.transform(featured(sample, training=True)).select("features", "label"), "train")
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7).fit(train.repartition(TRAIN_TASKS))
     scored = model.transform(vector.transform(featured(
         rest.withColumns(lexical(F.col("_url"), F.col("host"), F.col("path"))))))
     judged = scored.withColumn("score", vector_to_array("probability")[1]).select(
