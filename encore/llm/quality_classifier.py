@@ -32,6 +32,7 @@ from encore.llm import quality_rules as q
 from encore.session import materialize
 
 TRAIN_TEXTS = 20_000     # bound of the labelled sample
+TRAIN_TASKS = 4          # tasks that hold the written sample while models are fitted
 TREES, DEPTH = 12, 3
 LASSO = 0.002
 THRESHOLD = 0.7
@@ -110,7 +111,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # at most about train_texts rows of two numbers: a proven bound
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     rows = texts.join(F.broadcast(sample), "_id").select("_text", "label")
-    train = materialize(featured(rows, "_text", ["label"]).coalesce(4), "train")
+    # the tasks that read the texts write the sample; it is gathered only then
+    train = materialize(featured(rows, "_text", ["label"]), "train").repartition(TRAIN_TASKS)
     seen = train.agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("mean")).first()
     if not seen["n"] or seen["mean"] in (0.0, 1.0):
         return F.lit(seen["mean"] if seen["n"] else total["mean"])
