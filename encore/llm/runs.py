@@ -35,6 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from encore.llm.names import quoted
+
 MIN_LENGTH = 6             # words of a run
 MIN_REPEATS = 4            # periods of a run
 BLOCK = 1 << 18            # pairs of occurrences compared at once
@@ -230,15 +232,11 @@ def periodic_run_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def _mapped(docs: DataFrame, id_col: str, text_col: str, run, columns: str) -> DataFrame:
-    src = docs.select(docs[_quoted(id_col)].alias("_id"), docs[_quoted(text_col)].cast("binary").alias("_text"))
+    src = docs.select(docs[quoted(id_col)].alias("_id"), docs[quoted(text_col)].cast("binary").alias("_text"))
     id_type = src.schema["_id"].dataType.simpleString()
     return src.mapInArrow(run, f"_id {id_type}, {columns}").withColumnRenamed("_id", id_col)
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def run_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prepare=looped) -> DataFrame:
     """One row per input row: the number of runs, the strongest one, and digests
     of all runs and of the words that stay.  ``prepare(words, id)`` may change

@@ -44,6 +44,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions.sequence import sequence_within
+from encore.llm.heavy import MOST_KEYS, heavy_keys, join_by_key
+from encore.llm.names import quoted
 from encore.session import materialize
 
 SHARDS = 16
@@ -51,7 +53,6 @@ ROUNDS = 12                # label rounds at most; each ends earlier when nothin
 BALANCE_ROUNDS = 24        # of which most move a few rows
 STALLS = 3                 # rounds without a gain that end it
 EVEN = 0.0005              # bytes above the even level that need no move, as a share of it
-HEAVY_GROUPS = 1000        # at most so many groups hold a thousandth of all links each
 LARGE = 4                  # documents of a LARGE-th of a shard are placed first
 
 STATE = ["_rid", "_id", "_size", "_crc", "_fixed", "_shard"]
@@ -71,13 +72,6 @@ def running_sum(df: DataFrame, key: str, order: list[str], value: str, out: str)
             .withColumn(out, F.col(out) + F.col("_before")).drop("_slice", "_before"))
 
 
-def _with_group(rows: DataFrame, groups: DataFrame, heavy: DataFrame) -> DataFrame:
-    """Inner join on ``_group``; the members of heavy groups are not shuffled."""
-    listed = F.broadcast(heavy.select("_group"))
-    light = rows.join(listed, "_group", "left_anti").join(groups.join(listed, "_group", "left_anti"), "_group")
-    return light.unionByName(rows.join(F.broadcast(groups.join(listed, "_group", "left_semi")), "_group"))
-
-
 def _loads(rows: DataFrame, shards: int) -> list[int]:
     got = {r["_shard"]: r["b"] for r in rows.groupBy("_shard").agg(F.sum("_size").alias("b")).collect()}
     return [got.get(k, 0) for k in range(shards)]
@@ -117,9 +111,7 @@ def _propagate(state: DataFrame, links: DataFrame, shards: int, level: float) ->
     """``(_rid, _shard)`` of the linked documents after the label rounds."""
     labels = materialize(state.join(links.select("_rid").distinct(), "_rid", "left_semi")
                          .select("_rid", "_size", "_fixed", "_shard"), "labels")
-    count = links.count()
-    heavy = materialize(links.groupBy("_group").agg(F.count(F.lit(1)).alias("c"))
-                        .where(F.col("c") * F.lit(HEAVY_GROUPS) >= F.lit(count)).select("_group"), "heavy")
+    heavy = heavy_keys(links, "_group")
     names = [f"_s{k}" for k in range(shards)]
     room = [True] * shards
     for _ in range(ROUNDS):
@@ -131,7 +123,7 @@ def _propagate(state: DataFrame, links: DataFrame, shards: int, level: float) ->
         if cut.isEmpty():
             break
         # a member of several groups adds up their sums and sides with the smallest
-        votes = (_with_group(held.where("NOT _fixed"), cut, heavy).groupBy("_rid")
+        votes = (join_by_key(held.where("NOT _fixed"), cut, "_group", heavy).groupBy("_rid")
                  .agg(F.first("_size").alias("_size"), F.first("_shard").alias("_shard"),
                       F.min(F.struct("_bytes", "_group")).alias("_lead"),
                       *[F.sum(n).alias(n) for n in names]))
@@ -231,23 +223,19 @@ def assign(nodes: DataFrame, links: DataFrame, shards: int = SHARDS) -> DataFram
 
 def equal_text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Nodes of ``assign`` and a link for every row whose text another row has."""
-    text = F.coalesce(docs[_quoted(text_col)], F.lit(""))
+    text = F.coalesce(docs[quoted(text_col)], F.lit(""))
     rows = materialize(docs.select(
-        F.monotonically_increasing_id().alias("_rid"), docs[_quoted(id_col)].alias("_id"),
+        F.monotonically_increasing_id().alias("_rid"), docs[quoted(id_col)].alias("_id"),
         (F.octet_length(text) + 1).cast("long").alias("_size"), F.crc32(text.cast("binary")).alias("_crc"),
         F.unhex(F.sha2(text, 256)).alias("_group")), "rows")
     many = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     many = materialize(many, "groups")
-    total = rows.count()
-    heavy = many.where(F.col("c") * F.lit(HEAVY_GROUPS) >= F.lit(total)).select("_group")
-    links = materialize(_with_group(rows.select("_rid", "_group"), many.select("_group"), heavy), "links")
+    # at most MOST_KEYS groups hold that part of all rows
+    heavy = many.where(F.col("c") * F.lit(MOST_KEYS) >= F.lit(rows.count())).select("_group")
+    links = materialize(join_by_key(rows.select("_rid", "_group"), many.select("_group"), "_group", heavy), "links")
     return rows.drop("_group"), links
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
     """``(id_col, size, text_crc32, law, shard, slot, grown_shard)`` of every row."""
     nodes, links = equal_text_groups(docs, id_col, text_col)
