@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from encore.config import DEFAULT
 from encore.operators import factors, normalize, serving, similarity
 from encore.session import ensure_checkpoint_dir, materialize
-from encore.sources import sinks, text
+from encore.sources import neighbours, sinks, text
 from encore.streaming import stream
 
 
@@ -55,7 +55,7 @@ def similar(spark: SparkSession, ratings: str, out: str, knobs=DEFAULT) -> None:
                                 knobs.als_iterations, knobs.als_reg)
     long = similarity.item_similarity(factors.item_factors(model), knobs.sim_threshold,
                                       knobs.top_k_similar)
-    sinks.write_table(long, os.path.join(out, "similar"))
+    neighbours.publish(long, os.path.join(out, "similar"))       # a running stream takes it up
 
 
 def logged_clicks(spark: SparkSession, log: str, prefix: str = DEFAULT.click_prefix) -> DataFrame:
@@ -79,7 +79,7 @@ def views(spark: SparkSession, ratings: str, catalog: str, log: str, recs: str,
         serving.user_recs(stream.latest_stream_recs(spark, recs), items, rated, knobs.recs_n),
         serving.user_favourites(rated, items, knobs.history_n))
     board.write.mode("overwrite").partitionBy("section").parquet(os.path.join(out, "dashboard"))
-    sinks.write_table(stream.stream_user_status(spark, recs, spark.read.text(log), knobs.click_prefix),
+    sinks.write_table(stream.stream_user_status(spark, recs, log, knobs.click_prefix),
                       os.path.join(out, "status"))
 
 
@@ -109,9 +109,11 @@ def main(argv=None) -> int:
     a.add_argument("--kafka-servers", help="instead of --clicks; needs Spark's Kafka connector")
     a.add_argument("--topic", default="clicks")
     a.add_argument("--max-offsets", type=int, default=100_000, help="most messages of a micro-batch")
-    a.add_argument("--similar", required=True, help="similar-item table (long form)")
+    a.add_argument("--similar", required=True, help="similar-item table, as the similar job publishes it")
     a.add_argument("--ratings", required=True, help="stored rating table")
     a.add_argument("--out", required=True)
+    a.add_argument("--checkpoint", help="default: _checkpoint under --out, so a restart goes on")
+    a.add_argument("--start", choices=("earliest", "latest"), default="earliest", help="log files of before the first run")
     a.add_argument("--available-now", action="store_true")
     a = sub.add_parser("fold")
     for name in ("--ratings", "--clicks", "--out"):
@@ -137,9 +139,9 @@ def main(argv=None) -> int:
         views(spark, args.ratings, args.catalog, args.clicks, args.recs, args.out)
     else:
         kafka = args.kafka_servers and kafka_options(args.kafka_servers, args.topic, args.max_offsets)
-        q = stream.run_stream(spark, args.clicks, args.similar, args.ratings, args.out,
+        q = stream.run_stream(spark, args.clicks, args.similar, args.ratings, args.out, args.checkpoint,
                               available_now=args.available_now, fmt="kafka" if kafka else "text",
-                              options=kafka)
+                              options=kafka, start=args.start)
         for query in (q, q.rejects):
             if query is not None:
                 query.awaitTermination()

@@ -86,6 +86,11 @@ def click_candidates(targets: DataFrame, sims: DataFrame, rated: DataFrame,
             .select("event_id", "uid", "seq", "cand", "sim", "cand_rank"))
 
 
+def recent_lists(recents: DataFrame) -> DataFrame:
+    """``(event_id, _recent)``: each click's recent items as a sorted array."""
+    return recents.groupBy("event_id").agg(F.array_sort(F.collect_list("r_mid")).alias("_recent"))
+
+
 def score_candidates(cands: DataFrame, recents: DataFrame, sims: DataFrame,
                      round_digits: int | None = None) -> DataFrame:
     """OP-21 + OP-23: ``avg(sim(cand, r)) + log10(#recent pairs)``
@@ -94,9 +99,15 @@ def score_candidates(cands: DataFrame, recents: DataFrame, sims: DataFrame,
     recent items (at most ``recent_k``) and meets its own neighbour list (at
     most ``top_k_similar``) once, by ``cand``.  Output ``(event_id, uid, mid,
     score, rank)``, rank by score desc then item id."""
-    lists = sims.groupBy(F.col("mid").alias("cand")).agg(
-        F.map_from_entries(F.collect_list(F.struct("nb_mid", "score"))).alias("_sims"))
-    recent = recents.groupBy("event_id").agg(F.array_sort(F.collect_list("r_mid")).alias("_recent"))
+    lists = sims.groupBy("mid").agg(F.collect_list(F.struct("nb_mid", "score")).alias("recs"))
+    return score_with_lists(cands, recent_lists(recents), lists, round_digits)
+
+
+def score_with_lists(cands: DataFrame, recent: DataFrame, neighbours: DataFrame,
+                     round_digits: int | None = None) -> DataFrame:
+    """``score_candidates`` on prepared inputs: ``recent`` is ``(event_id,
+    _recent)`` and ``neighbours`` ``(mid, recs ARRAY<STRUCT<nb_mid, score>>)``."""
+    lists = neighbours.select(F.col("mid").alias("cand"), F.map_from_entries("recs").alias("_sims"))
     pairs = (cands.select("event_id", "uid", "cand").join(recent, "event_id")
              .join(lists, "cand", "left"))
     n = F.size("_recent").cast("double")

@@ -231,6 +231,7 @@ ORACLE = {
                                       ["scored"]),
     "realtime_recs_latest": _with("SELECT uid, event_id, mid, score, rank FROM latest", ["latest"]),
     "stream_recs_latest": _with("SELECT uid, mid, score, rank FROM latest", ["latest"]),
+    "stream_queue": _with("SELECT uid, pos, mid FROM queue", ["queue"]),
     "ratings_after_clicks": _with("SELECT uid, mid, weight FROM ratings_now", ["ratings_now"]),
     "enrich_items": _with(_enrich("(SELECT * FROM queue WHERE pos <= 20)"),
                           ["queue", "catalog", "ratings_now"]),
@@ -244,7 +245,7 @@ ORACLE = {
                            ELSE 'waiting' END AS status
         FROM (SELECT DISTINCT uid FROM (SELECT uid FROM stored UNION ALL SELECT uid FROM clicks)) u
         LEFT JOIN (SELECT uid, max_by(event_id, (ts, event_id)) AS event_id FROM clicks
-                   WHERE event_id % 3 <> 0 GROUP BY uid) h ON h.uid = u.uid
+                   WHERE ts <= (SELECT min(ts) + (max(ts) - min(ts)) // 2 FROM clicks) GROUP BY uid) h ON h.uid = u.uid
         LEFT JOIN last_click l ON l.uid = u.uid""", ["stored", "clicks", "last_click"]),
     "best_config": """
         SELECT CAST(l_linenumber AS INTEGER) AS rank, l_discount AS reg, avg(l_quantity) AS rmse

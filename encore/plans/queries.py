@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from encore.config import DEFAULT
 from encore.operators import factors, normalize, realtime, serving, similarity
 from encore.session import materialize, scratch_path
-from encore.sources import sinks, tables, text
+from encore.sources import neighbours, sinks, tables, text
 from encore.streaming import stream
 
 SIM_DIGITS = 6
@@ -172,35 +172,48 @@ def q_realtime_recs_latest(spark, d):
     return latest_long(spark, d)
 
 
-def q_stream_recs_latest(spark, d):
-    """The Structured Streaming path end to end: the click log arrives as text
-    in three slices of time, each consumed by a restarted stream (keyed queue
-    state restored, earlier clicks read back), with a compaction before the
-    last; then each user's current list is read from the sink.  Must equal
-    the batch replay (``realtime_recs_latest``); stream click ids are
-    synthetic, so the comparison leaves ``event_id`` out."""
+def _streamed(spark, d, slices):
+    """The Structured Streaming path over the click log: it arrives as text in
+    slices of time, each consumed by a restarted stream that goes on from the
+    store and its checkpoint; the similar-item table is published anew before
+    the last.  The folder of the store."""
     base = scratch_path(spark, "stream")
-    stream_sims(spark, d).write.parquet(f"{base}/sims")
+    sims = stream_sims(spark, d)
     sinks.write_ratings(tables.base_ratings(spark, d), f"{base}/stored")   # uid-clustered
     clicks = tables.clicks(spark, d)
-    cuts = clicks.agg(F.percentile_approx("ts", [1 / 3, 2 / 3]).alias("c")).first()["c"] or [0, 0]
-    last = len(cuts)
-    for i in range(last + 1):
-        slice_ = F.lit(True) if i == 0 else F.col("ts") > cuts[i - 1]
-        slice_ = slice_ if i == last else slice_ & (F.col("ts") <= cuts[i])
-        (text.format_click_log(clicks.where(slice_)).select(F.col("line").alias("value"))
+    cuts = clicks.agg(F.percentile_approx("ts", [i / slices for i in range(1, slices)]).alias("c")).first()["c"]
+    for i in range(slices):
+        if i in (0, slices - 1):
+            neighbours.publish(sims, f"{base}/similar")
+        part = clicks
+        if cuts:
+            part = part.where(F.col("ts") > cuts[i - 1]) if i else part
+            part = part.where(F.col("ts") <= cuts[i]) if i < slices - 1 else part
+        # the log is written in the order of the clicks
+        (text.format_click_log(part.orderBy("ts", "event_id")).select(F.col("line").alias("value"))
          .write.mode("append").text(f"{base}/in"))
-        q = stream.run_stream(spark, f"{base}/in", f"{base}/sims", f"{base}/stored", f"{base}/out",
-                              checkpoint=f"{base}/checkpoint", available_now=True,
-                              round_digits=SCORE_DIGITS)
+        q = stream.run_stream(spark, f"{base}/in", f"{base}/similar", f"{base}/stored", f"{base}/out",
+                              available_now=True, round_digits=SCORE_DIGITS)
         for query in (q, q.rejects):
             if query is not None:
                 query.awaitTermination()
                 if query.exception() is not None:
                     raise RuntimeError(str(query.exception()))
-        if i == last - 1:
-            stream.compact_stream(spark, f"{base}/out")
-    return stream.latest_stream_recs(spark, f"{base}/out").select("uid", "mid", "score", "rank")
+    return f"{base}/out"
+
+
+def q_stream_recs_latest(spark, d):
+    """Each user's current list after three restarted slices.  Must equal the
+    batch replay (``realtime_recs_latest``); stream click ids are synthetic, so
+    the comparison leaves ``event_id`` out."""
+    return stream.latest_stream_recs(spark, _streamed(spark, d, 3)).select("uid", "mid", "score", "rank")
+
+
+def q_stream_queue(spark, d):
+    """OP-37 as the stream keeps it, over two slices; equals ``recent_queue``."""
+    queues = stream.stream_queues(spark, _streamed(spark, d, 2))
+    return queues.select("uid", F.posexplode("queue").alias("pos", "mid")).select(
+        "uid", (F.col("pos") + 1).cast("int").alias("pos"), "mid")
 
 
 def q_ratings_after_clicks(spark, d):
@@ -236,8 +249,9 @@ def q_user_recs_by_mid(spark, d):
 def q_user_status(spark, d):
     clicks = tables.clicks(spark, d)
     users = tables.base_ratings(spark, d).select("uid").unionByName(clicks.select("uid"))
-    # lists stored when two in three clicks had been scored: later clickers wait
-    scored = clicks.where(F.col("event_id") % 3 != 0)
+    # lists stored when the log was at its middle second: later clickers wait
+    middle = clicks.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    scored = clicks.join(F.broadcast(middle), F.col("ts") <= F.expr("a + (b - a) DIV 2")).select(clicks.columns)
     heads = realtime.latest_clicks(scored).select("uid", "event_id")
     return serving.user_status(users, clicks, heads)
 
@@ -325,6 +339,7 @@ QUERIES = {
     "realtime_recs_all_clicks": q_realtime_recs_all_clicks,
     "realtime_recs_latest": q_realtime_recs_latest,
     "stream_recs_latest": q_stream_recs_latest,
+    "stream_queue": q_stream_queue,
     "ratings_after_clicks": q_ratings_after_clicks,
     "enrich_items": q_enrich_items,
     "user_history": q_user_history,

@@ -1,54 +1,46 @@
 """Structured Streaming: click log source (OP-06), micro-batch trigger
-(OP-36), per-user recent queue in keyed state (OP-37), static similarity
-side re-read per batch (OP-40), keyed upsert sink (OP-07).
+(OP-36), per-user recent queue (OP-37/38), versioned similarity side (OP-40),
+keyed store (OP-07), status from progress (OP-29).
 
 Flow:  log lines (files or a Kafka topic) -> ``parse_click_log`` (rejects to
-their own file sink) -> -> ``groupBy(uid)
-.applyInPandasWithState`` (queue of the newest ``queue_cap`` items and a
-click counter per user; emits each click with its ``seq`` and its recent
-list) -> ``foreachBatch(score_batch)``.  ``score_batch`` runs the same
-set-wise functions as the batch replay (``encore.operators.realtime``).
-
-Sink layout under ``out`` (parquet, one folder per batch, so a replayed
-batch overwrites itself and output is exactly once):
-  heads/batch_id=N    one row per click ``(uid, event_id, ts, seq)``
-  recs/batch_id=N     the list written at that click ``(uid, event_id, mid, score, rank)``
-  clicked/batch_id=N  first click of a user on an item ``(uid, mid, from_seq)``
-  snapshot/{heads,recs,clicked}/upto=N   compaction of batches <= N
-Within a batch, clicked and recs are written before heads, which marks the
-batch complete.
-``latest_stream_recs`` reads the current list per user (the keyed upsert).
-A stream click has no event id of its own; ``event_id`` is
-``uid * 2^31 + seq``, unique per user click.
+their own file sink) -> ``foreachBatch(score_batch)``.
+
+A batch is worked on as a set, in DataFrame operations only.  A user's clicks
+are counted by a partial aggregation and the newest ``queue_cap`` of them found
+by a partial top-k, so a user with half a million clicks in a batch is spread
+over all tasks.  They go before the queue that the keyed store holds for the
+user, and the result is the new queue.  The list of the user's last click in the
+batch is scored; lists of the clicks before it in the same batch would replace
+each other at once, as the store keeps one list a user.
+
+Clicks are ordered by second, then as the log has them: file name, place of the
+read block in the file, line (Kafka: partition, offset).
+
+The checkpoint lies in ``out/_checkpoint`` unless one is given, so a restarted
+job goes on where it stopped, whatever application runs it; a folder is bound to
+its checkpoint.  ``event_id`` of a click is ``uid * 2^31 + seq``.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from encore.config import DEFAULT
 from encore.operators import realtime
-from encore.session import ensure_checkpoint_dir
+from encore.sources.neighbours import Neighbours, buckets_in
 from encore.sources.text import parse_click_log
+from encore.streaming.sink import StreamSink, newest_heads, with_bucket
 
-STATE_SCHEMA = "seq long, queue array<int>"
-HEADS = "uid int, event_id long, ts long, seq long"
-RECS = "uid int, event_id long, mid int, score double, rank int"
-CLICKED = "uid int, mid int, from_seq long"
-OUT_SCHEMA = "uid int, mid int, ts long, seq long, recents array<int>"
+ORDER = ["ts", "_file", "_block", "_line"]
+STORE = "store"          # the keyed store's folder under ``out``
 
 
 def click_lines(spark: SparkSession, path: str | None = None, fmt: str = "text",
                 max_files_per_trigger: int | None = None, options: dict | None = None) -> DataFrame:
-    """OP-06: the raw log as a stream of ``value`` strings.
+    """OP-06: the raw log as a stream ``(value, _file, _block)``.
 
     ``fmt="text"`` reads a directory of log files (what the log shipper
     writes); ``fmt="kafka"`` subscribes to a topic through Spark's Kafka
@@ -62,98 +54,82 @@ def click_lines(spark: SparkSession, path: str | None = None, fmt: str = "text",
         r = r.options(**options)
     df = r.load(path) if path else r.load()
     if fmt == "kafka":
-        df = df.selectExpr("CAST(value AS STRING) AS value")
-    return df
+        return df.selectExpr("CAST(value AS STRING) AS value", "concat(topic, '-', partition) AS _file",
+                             "offset AS _block", "timestamp AS _written")
+    return df.select("value", F.col("_metadata.file_path").alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_block"),
+                     F.col("_metadata.file_modification_time").alias("_written"))
 
 
 def click_source(spark: SparkSession, path: str | None, prefix: str = DEFAULT.click_prefix,
                  max_files_per_trigger: int | None = None, fmt: str = "text",
-                 options: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """OP-06 + OP-35: parsed clicks and the rejected lines (D4), both streams."""
-    return parse_click_log(click_lines(spark, path, fmt, max_files_per_trigger, options), prefix)
-
-
-def _queue_state(cap: int, k: int):
-    k = min(k, cap)                  # recents are read from the queue
-
-    def update(key: tuple, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        uid = int(key[0])
-        seq, queue = (state.get[0], list(state.get[1])) if state.exists else (0, [])
-        frames = [p for p in pdfs if len(p)]
-        if not frames:
-            return
-        # equal seconds go by item id, so a retried batch numbers its clicks alike
-        clicks = pd.concat(frames).sort_values(["ts", "mid"], kind="stable")
-        mids = clicks["mid"].to_numpy(np.int64)
-        n, old = len(mids), np.asarray(queue[::-1], dtype=np.int64)   # oldest first
-        # history oldest -> newest, padded so every click has k slots before it
-        hist = np.concatenate([np.full(k - 1, -1, np.int64), old, mids])
-        win = np.lib.stride_tricks.sliding_window_view(hist, k)[len(old):len(old) + n, ::-1]
-        keep = win >= 0                                    # padding is never an item id
-        recents = np.split(win[keep], np.cumsum(keep.sum(axis=1))[:-1])
-        queue = hist[::-1][:cap]                           # newest first, oldest dropped
-        state.update((seq + n, [int(x) for x in queue if x >= 0]))
-        yield pd.DataFrame({"uid": uid, "mid": mids.astype(np.int32),
-                            "ts": clicks["ts"].astype("int64").to_numpy(),
-                            "seq": seq + np.arange(1, n + 1, dtype=np.int64),
-                            "recents": [r.astype(np.int32) for r in recents]})
-    return update
-
-
-def with_queue_state(clicks: DataFrame, cap: int = DEFAULT.queue_cap,
-                     k: int = DEFAULT.recent_k) -> DataFrame:
-    """OP-37/38 in a stream: each click with its user ``seq`` and recent list."""
-    return clicks.groupBy("uid").applyInPandasWithState(
-        _queue_state(cap, k), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
-
-
-def _read_or_empty(spark, path, schema):
-    # Works on any file system Spark reads; nothing written yet -> no rows.
-    try:
-        return spark.read.schema(schema + ", batch_id long").parquet(path)
-    except AnalysisException as e:
-        if not _nothing_there(e):
-            raise
-        return spark.createDataFrame([], schema + ", batch_id long")
-
-
-def _only_batch_users(table: DataFrame, clicks: DataFrame) -> DataFrame:
-    """The rows of a per-user table for the users of this micro-batch."""
-    return table.join(clicks.select("uid").distinct(), "uid", "left_semi")
-
-
-def _nothing_there(e: AnalysisException) -> bool:
-    return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
-
-def score_batch(batch: DataFrame, batch_id: int, sims_path: str, stored_path: str, out: str,
+                 options: dict | None = None, after: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """OP-06 + OP-35: parsed clicks and the rejected lines (D4), both streams.
+    ``after`` (a timestamp) leaves out files written before it."""
+    lines = click_lines(spark, path, fmt, max_files_per_trigger, options)
+    if after is not None:
+        lines = lines.where(F.col("_written") >= F.lit(after).cast("timestamp"))
+    return parse_click_log(lines.drop("_written"), prefix, keep=("_file", "_block"))
+
+
+def batch_heads(clicks: DataFrame, heads: DataFrame, cap: int = DEFAULT.queue_cap) -> DataFrame:
+    """OP-37: ``(uid, mid, ts, seq, queue)`` of each user after these clicks:
+    the last click, its number and the newest ``cap`` items.  ``clicks`` is
+    ``(uid, mid)`` with the ``ORDER`` columns, ``heads`` what was stored before,
+    one row a user."""
+    newest = Window.partitionBy("uid").orderBy(*[F.col(c).desc() for c in ORDER])
+    fresh = (clicks.withColumn("pos", F.row_number().over(newest)).where(F.col("pos") <= cap)
+             .groupBy("uid").agg(F.array_sort(F.collect_list(F.struct("pos", "mid"))).alias("_q"),
+                                 F.max("ts").alias("ts")))
+    counted = clicks.groupBy("uid").agg(F.count(F.lit(1)).alias("_n"))
+    before = heads.select("uid", F.col("seq").alias("_seq"), F.col("queue").alias("_old"))
+    queue = F.slice(F.concat(F.transform("_q", lambda e: e["mid"]),
+                             F.coalesce("_old", F.array().cast("array<int>"))), 1, cap)
+    return (fresh.join(counted, "uid").join(before, "uid", "left")
+            .select("uid", F.col("_q")[0]["mid"].alias("mid"), "ts",
+                    (F.coalesce("_seq", F.lit(0)) + F.col("_n")).alias("seq"), queue.alias("queue")))
+
+
+def score_batch(batch: DataFrame, batch_id: int, similar: Neighbours, stored_path: str, sink: StreamSink,
                 knobs=DEFAULT, round_digits: int | None = None) -> None:
-    """Score one micro-batch and write it under ``out`` (idempotent per batch)."""
+    """OP-39 for one micro-batch, committed to the store; a batch that is
+    committed already is skipped, so a retried one changes nothing."""
+    if sink.manifest()[1].get("batch", -1) >= batch_id:
+        return
     spark = batch.sparkSession
-    sims = spark.read.parquet(sims_path)                       # OP-40: current version
-    stored = spark.read.parquet(stored_path)
-    clicks = batch.withColumn(
-        "event_id", F.col("uid").cast("long") * F.lit(1 << 31) + F.col("seq")).persist()
+    similar.refresh()                                          # OP-40: the current version
+    # lines of a block are read in order, so the id grows with the line
+    clicks = batch.withColumn("_line", F.monotonically_increasing_id()).persist()
     try:
-        stored = _only_batch_users(stored, clicks)
-        recents = clicks.select("event_id", "uid", F.posexplode("recents").alias("_p", "r_mid")) \
-            .select("event_id", "uid", "r_mid", (F.col("_p") + 1).cast("int").alias("r_pos"))
-        earlier = _only_batch_users(clicked_history(spark, out, batch_id), clicks)
-        firsts = clicks.groupBy("uid", "mid").agg(F.min("seq").alias("from_seq"))
-        base = stored.select("uid", "mid", F.lit(0).cast("long").alias("from_seq"))
-        rated = (base.unionByName(earlier).unionByName(firsts)
-                 .groupBy("uid", "mid").agg(F.min("from_seq").alias("from_seq")))
-        cands = realtime.click_candidates(clicks, sims, rated, knobs.candidate_n)
-        recs = realtime.score_candidates(cands, recents, sims, round_digits)
-        part = f"batch_id={batch_id}"
-        # Order matters: ``heads`` is written last and marks the batch complete
-        # for readers and for compaction.
-        new_firsts = firsts.join(earlier.select("uid", "mid"), ["uid", "mid"], "left_anti")
-        new_firsts.write.mode("overwrite").parquet(os.path.join(out, "clicked", part))
-        recs.select("uid", "event_id", "mid", "score", "rank").write.mode("overwrite").parquet(
-            os.path.join(out, "recs", part))
-        clicks.select("uid", "event_id", "ts", "seq").write.mode("overwrite").parquet(
-            os.path.join(out, "heads", part))
+        users = clicks.select("uid").distinct()
+        of_batch = buckets_in(users, "uid")
+
+        def mine(table: DataFrame) -> DataFrame:
+            return table.join(users, "uid", "left_semi")
+
+        heads = batch_heads(clicks, newest_heads(mine(sink.table("heads", of_batch))), knobs.queue_cap)
+        heads = heads.withColumn("event_id", F.col("uid").cast("long") * F.lit(1 << 31) + F.col("seq")).persist()
+        try:
+            counts = clicks.groupBy("uid", "mid").agg(F.count(F.lit(1)).alias("clicks"))
+            rated = (mine(spark.read.parquet(stored_path).select("uid", "mid"))
+                     .unionByName(mine(sink.table("counts", of_batch).select("uid", "mid")))
+                     .unionByName(counts.select("uid", "mid")).distinct()
+                     .withColumn("from_seq", F.lit(0).cast("long")))
+            cands = realtime.click_candidates(heads, similar.pairs(buckets_in(heads, "mid")), rated,
+                                              knobs.candidate_n).persist()
+            recent = heads.select("event_id", F.array_sort(F.slice("queue", 1, knobs.recent_k)).alias("_recent"))
+            try:
+                recs = realtime.score_with_lists(cands, recent, similar.lists(buckets_in(cands, "cand")), round_digits)
+                sink.add(batch_id, {
+                    "heads": with_bucket(heads.select("uid", "event_id", "ts", "seq", "queue")),
+                    "recs": with_bucket(recs.select("uid", "event_id", "mid", "score", "rank")),
+                    "counts": with_bucket(counts.select("uid", "mid", "clicks")),
+                    "files": clicks.select(F.col("_file").alias("file")).distinct().withColumn("bucket", F.lit(0)),
+                })
+            finally:
+                cands.unpersist()
+        finally:
+            heads.unpersist()
     finally:
         clicks.unpersist()
 
@@ -162,27 +138,31 @@ def run_stream(spark: SparkSession, clicks_dir: str | None, sims_path: str, stor
                out: str, checkpoint: str | None = None, available_now: bool = False,
                knobs=DEFAULT, max_files_per_trigger: int | None = 1000,
                round_digits: int | None = None, fmt: str = "text", options: dict | None = None,
-               keep_rejects: bool = True):
+               keep_rejects: bool = True, start: str = "earliest"):
     """Start the streaming recommender; returns the ``StreamingQuery``.
 
-    ``checkpoint`` defaults to a folder under the session's shared
-    ``spark.checkpoint.dir``.  ``available_now`` processes what is there and
-    stops (tests, catch-up runs); otherwise a batch fires every
-    ``knobs.batch_seconds`` (OP-36).  With ``keep_rejects`` a second query
-    appends malformed lines to ``out/rejects`` (file sink, exactly once);
-    it is reachable as ``query.rejects``.
+    ``sims_path`` is a table published by ``neighbours.publish`` (a new version
+    counts from the next batch on) or a plain long table.  ``checkpoint``
+    defaults to ``out/_checkpoint``.  ``available_now`` processes what is there
+    and stops (tests, catch-up runs); otherwise a batch fires every
+    ``knobs.batch_seconds`` (OP-36).  ``start="latest"`` leaves out log files
+    written before the first run.  With ``keep_rejects`` a second query appends
+    malformed lines to ``out/rejects`` (file sink, exactly once); it is reachable
+    as ``query.rejects``.
     """
-    ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "stream-" +
-                                      os.path.basename(out.rstrip("/")))
+    if start not in ("earliest", "latest"):
+        raise ValueError(f"unknown start {start!r}")
+    ckpt = checkpoint or os.path.join(out, "_checkpoint")
+    sink = StreamSink(spark, os.path.join(out, STORE))
+    begun = sink.open(ckpt, str(spark.sql("SELECT current_timestamp()").first()[0]) if start == "latest" else None)
     clicks, rejects = click_source(spark, clicks_dir, knobs.click_prefix, max_files_per_trigger,
-                                   fmt, options)
-    src = with_queue_state(clicks, knobs.queue_cap, knobs.recent_k)
-    w = (src.writeStream.option("checkpointLocation", os.path.join(ckpt, "recs"))
-         .foreachBatch(lambda df, bid: score_batch(df, bid, sims_path, stored_path, out, knobs,
-                                                   round_digits)))
+                                   fmt, options, begun["after"] if fmt == "text" else None)
+    similar = Neighbours(spark, sims_path)
+    w = (clicks.writeStream.option("checkpointLocation", os.path.join(ckpt, "recs"))
+         .foreachBatch(lambda df, bid: score_batch(df, bid, similar, stored_path, sink, knobs, round_digits)))
     r = None
     if keep_rejects:
-        r = (rejects.writeStream.format("parquet").option("path", os.path.join(out, "rejects"))
+        r = (rejects.drop("_file", "_block").writeStream.format("parquet").option("path", os.path.join(out, "rejects"))
              .option("checkpointLocation", os.path.join(ckpt, "rejects")))
     if available_now:
         w = w.trigger(availableNow=True)
@@ -195,111 +175,57 @@ def run_stream(spark: SparkSession, clicks_dir: str | None, sims_path: str, stor
     return q
 
 
-def _current(heads: DataFrame, recs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    last = heads.groupBy("uid").agg(F.max(F.struct("seq", "event_id", "ts")).alias("_l")) \
-        .select("uid", "_l.event_id", "_l.ts", "_l.seq")
-    cur = recs.join(last.select("uid", "event_id"), ["uid", "event_id"]) \
-        .select("uid", "event_id", "mid", "score", "rank")
-    return last, cur
-
-
-def _snapshot_upto(spark: SparkSession, out: str, before: int | None = None) -> int:
-    """Newest compaction id (``< before`` when given), or -1."""
-    try:
-        heads = spark.read.schema(HEADS + ", upto long").parquet(
-            os.path.join(out, "snapshot", "heads"))
-    except AnalysisException as e:
-        if not _nothing_there(e):
-            raise
-        return -1
-    if before is not None:
-        heads = heads.where(F.col("upto") < before)
-    upto = heads.agg(F.max("upto")).first()[0]
-    return -1 if upto is None else upto
-
-
-def _snapshot_part(spark: SparkSession, out: str, name: str, schema: str, upto: int):
-    return (spark.read.schema(schema + ", upto long").parquet(os.path.join(out, "snapshot", name))
-            .where(F.col("upto") == upto).drop("upto"))
-
-
-def _snapshot(spark: SparkSession, out: str):
-    """Newest compaction ``(upto, heads, recs)``, or ``(-1, None, None)``."""
-    upto = _snapshot_upto(spark, out)
-    if upto < 0:
-        return -1, None, None
-    return (upto, _snapshot_part(spark, out, "heads", HEADS, upto),
-            _snapshot_part(spark, out, "recs", RECS, upto))
-
-
-def clicked_history(spark: SparkSession, out: str, before: int) -> DataFrame:
-    """First clicks ``(uid, mid, from_seq)`` of every batch before ``before``:
-    the newest snapshot taken before it plus the batch folders after that."""
-    upto = _snapshot_upto(spark, out, before)
-    rows = _read_or_empty(spark, os.path.join(out, "clicked"), CLICKED)
-    rows = rows.where((F.col("batch_id") > upto) & (F.col("batch_id") < before)).drop("batch_id")
-    if upto >= 0:
-        rows = _snapshot_part(spark, out, "clicked", CLICKED, upto).unionByName(rows)
-    return rows
-
-
-def _heads_and_recs(spark: SparkSession, out: str):
-    upto, s_heads, s_recs = _snapshot(spark, out)
-    heads = _read_or_empty(spark, os.path.join(out, "heads"), HEADS)
-    recs = _read_or_empty(spark, os.path.join(out, "recs"), RECS)
-    heads = heads.where(F.col("batch_id") > upto).drop("batch_id")
-    recs = recs.where(F.col("batch_id") > upto).drop("batch_id")
-    if s_heads is not None:
-        heads, recs = s_heads.unionByName(heads), s_recs.unionByName(recs)
-    return heads, recs
+def _sink(spark: SparkSession, out: str) -> StreamSink:
+    return StreamSink(spark, os.path.join(out, STORE))
 
 
 def latest_stream_recs(spark: SparkSession, out: str) -> DataFrame:
     """OP-07 read side: each user's current list ``(uid, event_id, mid, score, rank)``
-    (the list from the user's highest ``seq``; empty lists have no rows, D12).
-    Reads the newest compaction snapshot plus the batches written after it."""
-    _, cur = _current(*_heads_and_recs(spark, out))
-    return cur
+    (the list of the user's highest ``seq``; empty lists have no rows, D12)."""
+    _, m = _sink(spark, out).manifest()
+    parts = m.get("parts", [])
+    heads = newest_heads(_sink(spark, out)._read("heads", parts)).select("uid", "event_id")
+    return (_sink(spark, out)._read("recs", parts).join(heads, ["uid", "event_id"], "left_semi")
+            .select("uid", "event_id", "mid", "score", "rank"))
+
+
+def stream_queues(spark: SparkSession, out: str) -> DataFrame:
+    """OP-37 read side: ``(uid, seq, queue)``, newest item first."""
+    return newest_heads(_sink(spark, out).table("heads")).select("uid", "seq", "queue")
+
+
+def stream_counts(spark: SparkSession, out: str) -> DataFrame:
+    """``(uid, mid, clicks)`` of everything the stream has scored."""
+    return _sink(spark, out).table("counts").groupBy("uid", "mid").agg(F.sum("clicks").alias("clicks"))
+
+
+def waiting_files(spark: SparkSession, out: str, log_dir: str) -> list[str]:
+    """Log files that no committed batch has read (one name a file of the folder)."""
+    listed = spark.createDataFrame([(f,) for f in spark.read.text(log_dir).inputFiles()], "file string")
+    path = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/+", "/")
+    done = _sink(spark, out).table("files").select(path(F.col("file")).alias("_p"))
+    return [r["file"] for r in listed.withColumn("_p", path(F.col("file"))).join(done, "_p", "left_anti").collect()]
 
 
-def stream_user_status(spark: SparkSession, out: str, log_lines: DataFrame,
+def stream_user_status(spark: SparkSession, out: str, log_dir: str,
                        prefix: str = DEFAULT.click_prefix) -> DataFrame:
-    """OP-29 against a running stream (D11): ``done`` when the user's stored
-    list comes from the user's last click in the log, ``waiting`` while the
-    log holds clicks the stream has not scored yet, or nothing is stored.
-    ``log_lines`` is the log as ``value`` strings (e.g. ``spark.read.text``).
-    Users are everyone with a click in the log.  ``(uid, status)``."""
-    clicks, _ = parse_click_log(log_lines, prefix)
-    seen = clicks.groupBy("uid").agg(F.count(F.lit(1)).alias("_seen"))
-    heads, _ = _heads_and_recs(spark, out)
-    done_upto = heads.groupBy("uid").agg(F.max("seq").alias("_scored"))
-    status = (F.when(F.col("_scored").isNull(), "waiting")
-              .when(F.col("_scored") >= F.col("_seen"), "done").otherwise("waiting"))
-    return seen.join(done_upto, "uid", "left").select("uid", status.alias("status"))
+    """OP-29 against a running stream (D11): ``waiting`` for users with a click
+    in a log file that is not scored yet, ``done`` for the others that have a
+    head.  Only the files that wait are read.  Users are everyone with a click
+    in the log.  ``(uid, status)``."""
+    heads = _sink(spark, out).table("heads").select("uid").distinct()
+    files = waiting_files(spark, out, log_dir)
+    if not files:
+        return heads.withColumn("status", F.lit("done"))
+    clicks, _ = parse_click_log(spark.read.text(files), prefix)
+    waiting = clicks.select("uid").distinct()
+    return (waiting.withColumn("status", F.lit("waiting"))
+            .unionByName(heads.join(waiting, "uid", "left_anti").withColumn("status", F.lit("done"))))
 
 
 def compact_stream(spark: SparkSession, out: str) -> int:
-    """Fold the batches written so far into one snapshot of the current lists
-    (one head and at most ``candidate_n`` rows per user) and of the first
-    clicks, tagged ``upto`` = the last batch id it covers.  Readers then skip older batch folders
-    (which a retention job may drop); batches after ``upto`` stay visible,
-    so this can run while the stream writes.  The recs snapshot is written
-    before the heads snapshot that readers key on, and only batches whose
-    heads exist (complete batches) are folded.  Returns ``upto``."""
-    heads = _read_or_empty(spark, os.path.join(out, "heads"), HEADS)
-    upto = heads.agg(F.max("batch_id")).first()[0]
-    prev, s_heads, s_recs = _snapshot(spark, out)
-    if upto is None or upto <= prev:
-        return prev
-    window = (F.col("batch_id") > prev) & (F.col("batch_id") <= upto)
-    h = heads.where(window).drop("batch_id")
-    r = _read_or_empty(spark, os.path.join(out, "recs"), RECS).where(window).drop("batch_id")
-    if s_heads is not None:
-        h, r = s_heads.unionByName(h), s_recs.unionByName(r)
-    last, cur = _current(h, r)
-    snap = os.path.join(out, "snapshot")
-    clicked_history(spark, out, upto + 1).write.mode("overwrite").parquet(
-        os.path.join(snap, "clicked", f"upto={upto}"))
-    cur.write.mode("overwrite").parquet(os.path.join(snap, "recs", f"upto={upto}"))
-    last.write.mode("overwrite").parquet(os.path.join(snap, "heads", f"upto={upto}"))
-    return upto
+    """Fold all parts of the store into one now; batches fold themselves as they
+    come, so this only shortens reads after a stop.  The last batch it covers."""
+    sink = _sink(spark, out)
+    sink.fold(everything=True)
+    return sink.manifest()[1].get("batch", -1)
