@@ -26,7 +26,8 @@ class Knobs:
     # Ours.
     split_seed: int = 42
     train_percent: int = 80
-    als_blocks: int = 16           # factor blocks; fixed, because start vectors are drawn by block
+    als_blocks: int = 16           # factor blocks at least (start vectors are drawn by block)
+    als_block_ratings: int = 4_000_000   # ratings of a block beyond that
     tile_rows: int = 4096          # items of a similarity tile; a task holds tile_rows^2 cosines
 
     def with_(self, **kw) -> "Knobs":

@@ -19,11 +19,10 @@ CTE: dict[str, tuple[str, list[str]]] = {
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
         GROUP BY 1, 2""", []),
     "stats": ("""
-        SELECT n, CAST(total AS BIGINT) AS total, CAST(mean AS BIGINT) AS mean,
-               sqrt(CAST(sq - 2 * mean * total + n * mean * mean AS DOUBLE) / n) AS std
-        FROM (SELECT n, total, sq, CASE WHEN n > 0 THEN total // n END AS mean
-              FROM (SELECT COUNT(*) AS n, SUM(weight) AS total,
-                           SUM(CAST(weight AS HUGEINT) * weight) AS sq FROM weights))""",
+        SELECT count(*) AS n, CAST(sum(weight) AS BIGINT) AS total, CAST(any_value(mean) AS BIGINT) AS mean,
+               sqrt(CAST(sum((weight - mean) * (weight - mean)) AS DOUBLE) / count(*)) AS std
+        FROM weights CROSS JOIN (SELECT CASE WHEN count(*) > 0 THEN sum(weight) // count(*) END AS mean
+                                 FROM weights)""",
               ["weights"]),
     "zscored": ("""
         SELECT w.uid, w.mid, w.weight, CAST(w.weight - s.mean AS DOUBLE) / s.std AS score
@@ -232,6 +231,15 @@ ORACLE = {
     "realtime_recs_latest": _with("SELECT uid, event_id, mid, score, rank FROM latest", ["latest"]),
     "stream_recs_latest": _with("SELECT uid, mid, score, rank FROM latest", ["latest"]),
     "stream_queue": _with("SELECT uid, pos, mid FROM queue", ["queue"]),
+    "weight_stats_after_clicks": _with("""
+        SELECT CAST(n AS BIGINT) AS n, CAST(total AS BIGINT) AS total, CAST(mean AS BIGINT) AS mean,
+               sqrt(CAST(sq - 2 * mean * total + n * mean * mean AS DOUBLE) / n) AS std
+        FROM (SELECT n, total, sq, total // n AS mean
+              FROM (SELECT count(*) AS n, sum(weight) AS total, sum(CAST(weight AS HUGEINT) * weight) AS sq
+                    FROM ratings_now))""", ["ratings_now"]),
+    "clicked_ratings": _with("""
+        SELECT c.uid, c.mid, s.weight FROM (SELECT DISTINCT uid, mid FROM clicks) c
+        LEFT JOIN stored s ON s.uid = c.uid AND s.mid = c.mid""", ["clicks", "stored"]),
     "ratings_after_clicks": _with("SELECT uid, mid, weight FROM ratings_now", ["ratings_now"]),
     "enrich_items": _with(_enrich("(SELECT * FROM queue WHERE pos <= 20)"),
                           ["queue", "catalog", "ratings_now"]),
@@ -250,9 +258,17 @@ ORACLE = {
     "best_config": """
         SELECT CAST(l_linenumber AS INTEGER) AS rank, l_discount AS reg, avg(l_quantity) AS rmse
         FROM lineitem GROUP BY 1, 2 ORDER BY 3, 1, 2 LIMIT 1""",
-    "als_factor_shape": _with("SELECT DISTINCT mid, 20 AS dim FROM zscored WHERE score IS NOT NULL", ["zscored"]),
-    "als_test_pairs": _with(f"""
-        SELECT count(*) AS n, count(*) > 0 AS has_rmse FROM splitted t
+    "als_factor_shape": _with("SELECT DISTINCT mid, 100 AS dim FROM zscored WHERE score IS NOT NULL", ["zscored"]),
+    "als_grid": _with("""
+        SELECT CAST(rank AS INTEGER) AS rank, reg, n, n > 0 AS has_rmse
+        FROM (VALUES (50), (100), (200), (300)) AS r(rank),
+             (VALUES (CAST(0.01 AS DOUBLE)), (CAST(0.1 AS DOUBLE)), (CAST(1 AS DOUBLE))) AS g(reg),
+             (SELECT count(*) AS n FROM splitted t
+              WHERE split = 'test' AND score IS NOT NULL
+                AND uid IN (SELECT uid FROM splitted WHERE split = 'train' AND score IS NOT NULL)
+                AND mid IN (SELECT mid FROM splitted WHERE split = 'train' AND score IS NOT NULL))""", ["splitted"]),
+    "als_test_pairs": _with("""
+        SELECT count(*) AS n, count(*) AS n_agree FROM splitted t
         WHERE split = 'test' AND score IS NOT NULL
           AND uid IN (SELECT uid FROM splitted WHERE split = 'train' AND score IS NOT NULL)
           AND mid IN (SELECT mid FROM splitted WHERE split = 'train' AND score IS NOT NULL)""", ["splitted"]),

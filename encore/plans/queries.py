@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from encore.config import DEFAULT
-from encore.operators import factors, normalize, realtime, serving, similarity
+from encore.operators import factors, normalize, ratings, realtime, serving, similarity
 from encore.session import materialize, scratch_path
 from encore.sources import neighbours, sinks, tables, text
 from encore.streaming import stream
@@ -216,8 +216,31 @@ def q_stream_queue(spark, d):
         "uid", (F.col("pos") + 1).cast("int").alias("pos"), "mid")
 
 
+def _upserted(spark, d):
+    """The rating table after three batches of clicks, one of which came twice."""
+    table = ratings.RatingTable(spark, scratch_path(spark, "ratings")).create(tables.base_ratings(spark, d))
+    clicks = tables.clicks(spark, d)
+    cuts = clicks.agg(F.percentile_approx("ts", [1 / 3, 2 / 3]).alias("c")).first()["c"] or [0, 0]
+    late = F.when(F.col("ts") <= cuts[0], 0).when(F.col("ts") <= cuts[1], 1).otherwise(2)
+    for batch in (0, 1, 1, 2):
+        table.apply(clicks.where(late == batch), batch)
+    return table
+
+
 def q_ratings_after_clicks(spark, d):
-    return ratings_now(spark, d)
+    """OP-28 bucket by bucket; equals one upsert of all clicks."""
+    return _upserted(spark, d).read()
+
+
+def q_weight_stats_after_clicks(spark, d):
+    """OP-14 from the sums kept beside the table, without a scan of it."""
+    return _upserted(spark, d).stats()
+
+
+def q_clicked_ratings(spark, d):
+    """OP-13 by ``(uid, mid)``: the stored weight of every clicked pair."""
+    table = ratings.RatingTable(spark, scratch_path(spark, "ratings")).create(tables.base_ratings(spark, d))
+    return table.of_pairs(tables.clicks(spark, d).select("uid", "mid").distinct())
 
 
 # -- per-user views -------------------------------------------------------------
@@ -286,8 +309,10 @@ def q_als_rmse(spark, d):
 
 
 def q_als_grid(spark, d):
-    train, test = factors.train_test(zscored(spark, d))
-    return factors.grid_search(train, test)
+    """Every point of the grid with the number of pairs its error is over."""
+    train, test = factors.train_test(materialize(zscored(spark, d)))
+    grid = factors.grid_search(train, test)
+    return grid.select("rank", "reg", "n", (F.col("rmse") > 0).alias("has_rmse"))
 
 
 def q_als_grid_best(spark, d):
@@ -306,15 +331,18 @@ def q_best_config(spark, d):
 
 def q_als_factor_shape(spark, d):
     """OP-30/31: every item with a training score has a factor of the rank."""
-    v = factors.item_factors(factors.fit_factors(zscored(spark, d), rank=20))
+    v = factors.item_factors(factors.fit_factors(zscored(spark, d)))
     return v.select("mid", F.size("v").alias("dim"))
 
 
 def q_als_test_pairs(spark, d):
-    """OP-16/32: the test pairs that get a prediction (user and item trained)."""
+    """OP-16/32: the test pairs that get a prediction (user and item trained),
+    and whether each prediction is the product of the exported factors."""
     train, test = factors.train_test(materialize(zscored(spark, d)))
-    als = factors.model_rmse(factors.fit_factors(train), test)
-    return als.select("n", F.col("rmse").isNotNull().alias("has_rmse"))
+    model = factors.fit_factors(train)
+    p = factors.with_products(model, factors.predict_pairs(model, test.where(F.col("score").isNotNull())))
+    gap = F.abs(F.col("prediction") - F.col("product"))
+    return p.agg(F.count(F.lit(1)).alias("n"), F.count_if(gap <= 1e-4).alias("n_agree"))
 
 
 QUERIES = {
@@ -341,6 +369,8 @@ QUERIES = {
     "stream_recs_latest": q_stream_recs_latest,
     "stream_queue": q_stream_queue,
     "ratings_after_clicks": q_ratings_after_clicks,
+    "weight_stats_after_clicks": q_weight_stats_after_clicks,
+    "clicked_ratings": q_clicked_ratings,
     "enrich_items": q_enrich_items,
     "user_history": q_user_history,
     "user_favourites": q_user_favourites,

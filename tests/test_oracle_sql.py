@@ -22,7 +22,11 @@ EXPECTED = {
     "user_status": ["uid", "status"],
     "best_config": ["rank", "reg", "rmse"],
     "als_factor_shape": ["mid", "dim"],
-    "als_test_pairs": ["n", "has_rmse"],
+    "als_test_pairs": ["n", "n_agree"],
+    "als_grid": ["rank", "reg", "n", "has_rmse"],
+    "weight_stats_after_clicks": ["n", "total", "mean", "std"],
+    "clicked_ratings": ["uid", "mid", "weight"],
+    "stream_queue": ["uid", "pos", "mid"],
     "click_candidates": ["event_id", "uid", "mid", "sim", "cand_rank"],
 }
 
@@ -37,7 +41,7 @@ def con():
 
 def test_every_oracle_binds(con):
     sqls = E.oracle_sql()
-    assert len(ORACLE) == 32 and set(ORACLE) <= set(sqls) <= set(E.queries())
+    assert len(ORACLE) == 36 and set(ORACLE) <= set(sqls) <= set(E.queries())
     for name, sql in sqls.items():
         cols = [r[0] for r in con.sql(f"DESCRIBE {sql}").fetchall()]
         assert len(cols) == len(set(cols)), name
