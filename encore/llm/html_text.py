@@ -6,15 +6,18 @@ that are page furniture (menus, footers, forms, adverts, comments; by tag, role
 or a whole class or id) or hidden are ruled out before any text is judged; the
 page itself, articles and headings never by class or id.
 
-First pass, each block on its own: many links make it bad; enough text with
-enough stop words makes it good; a short block, or one with few stop words, is
-undecided.  Second pass: an undecided block takes the label of the nearest
-decided block of its scope, the good one when both are as near.  A scope is an
-article (or main) element, or what lies outside of them; where a scope has no
-decided block, an article's blocks are good and the others bad.  When a page
-has an article with text, what lies outside is not the article.
-
-Rows are independent: one scan, no shuffle, memory by page.  Defined results:
+First pass, each block on its own: outside of articles many links make it bad,
+headings apart; enough text with enough stop words makes it good; a short block,
+or one with few stop words, is undecided.  Inside an article links say nothing
+(headings and reference lists are often links), as its furniture is gone.
+Second pass: an undecided block takes the label of the nearest decided block of
+its scope, the good one when both are as near.  A scope is an article (or main)
+element, or what lies outside of them; where a scope has no good block, its
+undecided blocks are good.  When a page has an article with text, what lies
+outside is not the article.
+
+Rows are independent: one scan, no shuffle, memory by page; a page is read once,
+whatever its tags' depth.  Defined results:
 null, empty or text-free pages give an empty text.  Broken markup (open tags,
 cut pages, stray ends) is read as far as it goes.  Nothing is capped.
 """
@@ -29,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.llm.names import quoted
+
 MIN_GOOD = 70            # characters from which a block is judged by stop words
 MIN_STOP_DENSITY = 0.1   # stop words per word of a good block
 MAX_LINK_DENSITY = 0.5   # share of characters inside links
@@ -57,7 +62,8 @@ BESIDE = frozenset(
 # names that rule out a paragraph, or a section by its id (which generators make from the heading)
 SURE = frozenset("ad ads advert adverts advertisement sponsored comments respond disqus breadcrumbs navbar "
                  "sidebar masthead".split())
-NEVER_BY_NAME = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+NEVER_BY_NAME = frozenset(["html", "body", "article", "main", *HEADINGS])
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 BAD_TAGS = frozenset("head nav footer aside form button select option dialog menu iframe object noscript "
                      "template svg canvas audio video".split())
@@ -104,19 +110,21 @@ def _is_furniture(tag: str, attrs: str, in_article: bool) -> bool:
 
 
 class _Block:
-    __slots__ = ("parts", "linked", "scope", "furniture")
+    __slots__ = ("parts", "linked", "scope", "furniture", "heading")
 
-    def __init__(self, scope: int, furniture: bool):
+    def __init__(self, scope: int, furniture: bool, heading: bool = False):
         self.parts: list[str] = []
         self.linked = 0
-        self.scope, self.furniture = scope, furniture
+        self.scope, self.furniture, self.heading = scope, furniture, heading
 
 
 def blocks(page: str) -> list[tuple[str, float, int, bool]]:
     """``(text, link density, scope, furniture)`` of the page's blocks in
-    order; scope 0 is outside of any article."""
+    order; scope 0 is outside of any article.  A heading's links do not count."""
     out: list[_Block] = []
     stack: list[tuple[str, bool, int]] = []      # tag, furniture, scope
+    open_at: dict[str, list[int]] = {}           # places of the open tags of each name
+    open_blocks: list[int] = []                  # places of the open block-level tags
     links = scopes = 0
     block = _Block(0, False)
 
@@ -128,7 +136,17 @@ def blocks(page: str) -> list[tuple[str, float, int, bool]]:
         if block.parts:
             out.append(block)
         furniture, scope = here()
-        block = _Block(scope, furniture)
+        block = _Block(scope, furniture, any(open_at.get(h) for h in HEADINGS))
+
+    def close(depth: int) -> None:
+        """Drops the stack from this place on; every tag is dropped once."""
+        nonlocal links
+        while len(stack) > depth:
+            tag = stack.pop()[0]
+            open_at[tag].pop()
+            if tag in BLOCKS:
+                open_blocks.pop()
+            links -= tag == "a"
 
     def text(raw: str) -> None:
         if raw:
@@ -144,10 +162,8 @@ def blocks(page: str) -> list[tuple[str, float, int, bool]]:
         if not tag:
             continue
         if m["end"]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None:
-                links -= sum(x[0] == "a" for x in stack[depth:])
-                del stack[depth:]
+            if open_at.get(tag):
+                close(open_at[tag][-1])
             if tag in BLOCKS:
                 new_block()
             continue
@@ -158,16 +174,16 @@ def blocks(page: str) -> list[tuple[str, float, int, bool]]:
             if tag == "hr":
                 new_block()
             continue
-        if tag in BLOCKS:      # a block ends an open paragraph, and what is open inside it
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
-            if depth is not None and not any(x[0] in BLOCKS for x in stack[depth + 1:]):
-                links -= sum(x[0] == "a" for x in stack[depth:])
-                del stack[depth:]
+        if tag in BLOCKS and open_blocks and stack[open_blocks[-1]][0] == "p":
+            close(open_blocks[-1])      # a block ends an open paragraph, and what is open inside it
         furniture, scope = here()
         furniture = furniture or _is_furniture(tag, m["attrs"], scope > 0)
         if tag in ("article", "main") and not furniture and not scope:
             scopes += 1
             scope = scopes
+        open_at.setdefault(tag, []).append(len(stack))
+        if tag in BLOCKS:
+            open_blocks.append(len(stack))
         stack.append((tag, furniture, scope))
         links += tag == "a"
         if tag in BLOCKS:
@@ -181,12 +197,13 @@ def blocks(page: str) -> list[tuple[str, float, int, bool]]:
     for b in out:
         t = " ".join(html.unescape("".join(b.parts)).split())
         if t:
-            found.append((t, min(1.0, b.linked / max(1, len(t.replace(" ", "")))), b.scope, b.furniture))
+            density = 0.0 if b.heading else min(1.0, b.linked / max(1, len(t.replace(" ", ""))))
+            found.append((t, density, b.scope, b.furniture))
     return found
 
 
-def _first_pass(text: str, link_density: float, furniture: bool) -> bool | None:
-    if furniture or link_density > MAX_LINK_DENSITY:
+def _first_pass(text: str, link_density: float, scope: int, furniture: bool) -> bool | None:
+    if furniture or (not scope and link_density > MAX_LINK_DENSITY):
         return False
     if len(text) < MIN_GOOD:
         return None
@@ -195,8 +212,11 @@ def _first_pass(text: str, link_density: float, furniture: bool) -> bool | None:
     return True if stops >= MIN_STOP_DENSITY * len(words) else None
 
 
-def _inherit(labels: list[bool | None], default: bool) -> list[bool]:
-    """Undecided labels take the nearest decided one, good at equal distance."""
+def _inherit(labels: list[bool | None]) -> list[bool]:
+    """Undecided labels take the nearest decided one, good at equal distance;
+    they are good where no label is."""
+    if True not in labels:
+        return [label is None for label in labels]
     left: list = []
     for seq in (labels, labels[::-1]):
         near, gap, side = None, 0, []
@@ -208,7 +228,7 @@ def _inherit(labels: list[bool | None], default: bool) -> list[bool]:
     for label, (g1, a), (g2, b) in zip(labels, left[0], left[1][::-1]):
         if label is None:
             options = sorted((g, not v) for g, v in ((g1, a), (g2, b)) if v is not None)
-            label = not options[0][1] if options else default
+            label = not options[0][1]
         out.append(label)
     return out
 
@@ -222,7 +242,7 @@ def main_text(page: str | None) -> str:
             continue
         # furniture neither stays nor speaks for its neighbours inside an article
         mine = [i for i, b in enumerate(found) if b[2] == scope and not (scope and b[3])]
-        labels = _inherit([_first_pass(found[i][0], found[i][1], found[i][3]) for i in mine], scope > 0)
+        labels = _inherit([_first_pass(*found[i]) for i in mine])
         for i, label in zip(mine, labels):
             good[i] = label
     return "\n".join(b[0] for b, g in zip(found, good) if g)
@@ -231,7 +251,8 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             html_col: str = "html") -> DataFrame:
     """``(id_col, url_col, text, n_chars)`` of every page."""
-    rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
+    rows = pages.select(pages[quoted(id_col)].alias("_id"), pages[quoted(url_col)].alias("_url"),
+                        pages[quoted(html_col)].alias("_html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
