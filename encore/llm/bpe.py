@@ -130,8 +130,11 @@ class Tokenizer:
 
     def merge(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
         """(ids as little-endian 32-bit words, bytes decoded from them) of each
-        word, by the recursive queries."""
-        found = [(self.ranks[x].to_bytes(4, "little"), x) if x in self.ranks else (b"", b"") for x in words]
+        word, by the recursive queries; a word that is a token has one id."""
+        found = [(self.ranks[x].to_bytes(4, "little"), b"") if x in self.ranks else (b"", b"") for x in words]
+        whole = [i for i, x in enumerate(found) if x[0]]
+        for i, back in zip(whole, self.decode([[int.from_bytes(found[i][0], "little")] for i in whole])):
+            found[i] = (found[i][0], back)
         rest = [i for i, x in enumerate(found) if not x[0] and words[i]]
         short = [i for i in rest if len(words[i]) <= LONG_BYTES]
         long = [i for i in rest if len(words[i]) > LONG_BYTES]
