@@ -295,13 +295,67 @@ def test_quality_classifier_on_held_out_labels(spark, docs, empty):
     assert quality_classifier.score(empty, labels).count() == 0
 
 
+MIT_WRAPPED = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell"""
+GPL_COMMENT = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+BSD_COMMENT = """/* Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions are met:
+ */"""
+
+
 def test_licenses(spark, docs, empty):
     d = "/root/testdata/sf0.01"
-    model = licenses.fit(spark.read.parquet(f"{d}/documents.parquet"))
-    assert model.family("LICENSED!! under the Apache License, Version 2.0") == "apache-2.0"
-    assert model.family("Released under the MIT License.") == "mit"
-    assert model.family(BASE) is None and model.family("") is None
-    assert licenses.scan(docs).count() == len(TEXTS) and licenses.scan(empty).count() == 0
+    corpus = spark.read.parquet(f"{d}/documents.parquet")
+    model = licenses.fit(corpus)
+    found = lambda text: sorted({f for p in licenses.paragraphs(text) for f in model.families(p) or []})
+    prose = "the river of stone and a town by sea was old long ago when it had been built for all who came "
+    for text, want in {
+            "LICENSED!! under the Apache License, Version 2.0": ["apache-2.0"], "Released under the MIT License.": ["mit"],
+            MIT_WRAPPED: ["mit"], GPL_COMMENT: ["gpl"], BSD_COMMENT: ["bsd"], BASE: [], "": [],
+            "Apache License, Version 2.0 or the MIT License": ["apache-2.0", "mit"],
+            "Dual licensed under the GPL-3.0 and the MIT License": ["gpl", "mit"],
+            "Released under the MIT License. " + prose * 6: ["mit"],
+            prose * 8 + "Licensed under the Apache License, Version 2.0. " + prose * 9: ["apache-2.0"],
+            "// SPDX-License-Identifier: Apache-2.0": ["apache-2.0"], "SPDX-License-Identifier: MIT": ["mit"],
+            "Licensed under the GNU Lesser General Public License, version 2.1.": ["lgpl"],
+            "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": ["cc-by-sa"],
+            prose + "\n\n" + MIT_WRAPPED + "\n\n" + GPL_COMMENT: ["gpl", "mit"]}.items():
+        assert [f for f in found(text) if f != licenses.UNKNOWN] == want, text
+    assert len(licenses.LICENCES) >= 30
+    for family in licenses.LICENCES:       # every wording that calibrates but does not train, and every notice
+        for notice in licenses.notices(family) + licenses.notices(family, licenses.UNSEEN_WAYS):
+            assert family in licenses.confirmed_families(licenses.words(notice), list(licenses.LICENCES)), notice
+    # every text with one of the corpus's notices, and no other
+    names = {"Apache License": "apache-2.0", "MIT License": "mit", "GNU General Public License, version 3": "gpl",
+             "All rights reserved": "all-rights-reserved", "CC BY-NC 4.0": "cc-by-nc"}
+    want = {r["doc_id"]: sorted({f for n, f in names.items() if n in r["text"]}) for r in corpus.collect()}
+    got = licenses.scan(corpus, model=model).collect()
+    assert {r["doc_id"]: r["families"] for r in got} == want
+    assert sum(r["n_unknown"] for r in got) <= 0.01 * len(got)
+    rows = licenses.scan(docs, model=model).collect()
+    assert len(rows) == len(TEXTS) and all(not r["families"] for r in rows) and licenses.scan(empty).count() == 0
+    # the sample does not depend on the partitioning
+    assert licenses._sample(corpus, "text", 200, 300) == licenses._sample(corpus.repartition(9), "text", 200, 300)
+
+
+def test_license_windows_and_logits():
+    assert licenses.windows(10) == [(0, 10)] and licenses.windows(64) == [(0, 64)]
+    for n in range(1, 400):
+        spans = licenses.windows(n)
+        assert spans[0][0] == 0 and spans[-1][1] == n and all(a + 32 == c for (a, _), (c, _) in zip(spans, spans[1:]))
+        # whatever is at most half a window long lies whole in one
+        assert all(any(a <= i and min(i + 32, n) <= b for a, b in spans) for i in range(n))
+    rng = np.random.default_rng(0)
+    weights = {g: rng.normal(size=3) for g in ("a", "b", "a b", "b a", "c c")}
+    model = licenses.Model(weights, rng.normal(size=3))
+    w = [str(x) for x in rng.choice(list("abcd"), 200)]
+    for (i, j), z in zip(licenses.windows(200), model.logits(w, licenses.windows(200))):
+        assert np.allclose(z, model.bias + sum((weights[g] for g in licenses.grams(w[i:j]) if g in weights), np.zeros(3)))
 
 
 def test_pipeline_stages_keep_columns(spark):
