@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,9 +53,8 @@ BLANKS = b" \t"
 
 _STOP = b"."               # ends a piece, so it is never a word
 _TABLE = bytes.maketrans(PIECE_ENDS + BLANKS, _STOP * len(PIECE_ENDS) + b" " * len(BLANKS))
-_GRAMS = pa.schema([("lang", pa.string()), ("w1", pa.string()), ("w2", pa.string()),
-                    ("w3", pa.string()), ("c", pa.int64())])
-_GRAMS_DDL = "lang string, w1 string, w2 string, w3 string, c long"
+_GRAMS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("c", pa.int64())])
+_GRAMS_DDL = "lang string, phrase string, c long"       # words joined by one blank, which no word holds
 _BITS = pa.schema([("at", pa.int32()), ("mask", pa.int64())])
 _WORDS = ["w1", "w2", "w3"]
 
@@ -125,20 +125,19 @@ def _counted(code: np.ndarray, ok: np.ndarray, size: int, first: int):
 
 def _rows(lang: str, names: pa.Array, cols: list[np.ndarray], count: np.ndarray) -> pa.RecordBatch:
     words = [names.take(pa.array(c)) for c in cols]
-    words += [pa.nulls(len(count), pa.string())] * (3 - len(words))
+    phrase = pc.binary_join_element_wise(*words, " ") if len(words) > 1 else words[0]
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(count), np.int64)))] + words + [pa.array(count)],
+        [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(count), np.int64))), phrase, pa.array(count)],
         schema=_GRAMS)
 
 
 def _short_phrases(size: int, chunk: int):
-    """Counts of one and two words; a row without words counts all words."""
+    """Counts of one and two words; a row without a phrase counts all words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, first in _blocks(batches, size, chunk):
             names, code, ok = _coded(words)
             total = pa.array([int(ok[first:].sum())], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([lang])] + [pa.nulls(1, pa.string())] * 3 + [total],
-                                             schema=_GRAMS)
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.nulls(1, pa.string()), total], schema=_GRAMS)
             for k in (1, 2):
                 yield _rows(lang, names, *_counted(code, ok, k, first))
     return run
@@ -212,14 +211,17 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     ``min_count`` times (absent words are null), and ``(lang, n)``."""
     src = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"),
                       F.col(text_col).cast("binary").alias("_text"))
-    short = materialize(
-        src.mapInArrow(_short_phrases(block, chunk), _GRAMS_DDL).groupBy("lang", *_WORDS).agg(F.sum("c").alias("f"))
-        .where(F.col("w1").isNull() | (F.col("f") >= min_count)), "phrases")
+    def counted(rows: DataFrame) -> DataFrame:
+        words = F.split("phrase", " ")
+        return (rows.groupBy("lang", "phrase").agg(F.sum("c").alias("f"))
+                .where(F.col("phrase").isNull() | (F.col("f") >= min_count))
+                .select("lang", *[F.get(words, k).alias(w) for k, w in enumerate(_WORDS)], "f"))
+
+    short = materialize(counted(src.mapInArrow(_short_phrases(block, chunk), _GRAMS_DDL)), "phrases")
     totals = short.where("w1 IS NULL").select("lang", F.col("f").alias("n"))
     short = short.where("w1 IS NOT NULL")
     shared = docs.sparkSession.sparkContext.broadcast(_pair_filter(short.where("w2 IS NOT NULL"), filter_bits))
-    long = (src.mapInArrow(_long_phrases(shared, filter_bits, block, chunk), _GRAMS_DDL).groupBy("lang", *_WORDS)
-            .agg(F.sum("c").alias("f")).where(F.col("f") >= min_count))
+    long = counted(src.mapInArrow(_long_phrases(shared, filter_bits, block, chunk), _GRAMS_DDL))
     return short.unionByName(long), totals
 
 
