@@ -50,9 +50,9 @@ from encore.session import materialize
 
 SHARDS = 16
 ROUNDS = 12                # label rounds at most; each ends earlier when nothing moves
-BALANCE_ROUNDS = 24        # of which most move a few rows
-STALLS = 3                 # rounds without a gain that end it
-EVEN = 0.0005              # bytes above the even level that need no move, as a share of it
+BALANCE_ROUNDS = 12        # of which most move a few rows
+STALLS = 2                 # rounds without a gain that end it
+EVEN = 0.003               # bytes above the even level that need no move, as a share of it
 LARGE = 4                  # documents of a LARGE-th of a shard are placed first
 
 STATE = ["_rid", "_id", "_size", "_crc", "_fixed", "_shard"]
