@@ -28,6 +28,7 @@ class Knobs:
     train_percent: int = 80
     als_blocks: int = 16           # factor blocks at least (start vectors are drawn by block)
     als_block_ratings: int = 4_000_000   # ratings of a block beyond that
+    als_hot_degree: int = 1_000_000      # ratings of a user that the library solves in one task
     tile_rows: int = 4096          # items of a similarity tile; a task holds tile_rows^2 cosines
 
     def with_(self, **kw) -> "Knobs":

@@ -51,8 +51,8 @@ def tune(spark: SparkSession, ratings: str, out: str, ranks=DEFAULT.grid_ranks,
 
 
 def similar(spark: SparkSession, ratings: str, out: str, knobs=DEFAULT) -> None:
-    model = factors.fit_factors(sinks.read_ratings(spark, ratings), knobs.als_rank,
-                                knobs.als_iterations, knobs.als_reg)
+    model = factors.fit_with_hot_users(sinks.read_ratings(spark, ratings), knobs.als_hot_degree, knobs.als_rank,
+                                       knobs.als_iterations, knobs.als_reg)
     long = similarity.item_similarity(factors.item_factors(model), knobs.sim_threshold,
                                       knobs.top_k_similar)
     neighbours.publish(long, os.path.join(out, "similar"))       # a running stream takes it up

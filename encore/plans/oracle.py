@@ -199,6 +199,7 @@ ORACLE = {
               FROM catalog)
         WHERE len(f) >= 3 AND regexp_full_match(f[1], '[+-]?[0-9]+')""", ["catalog"]),
     "stored_ratings_roundtrip": _with("SELECT uid, mid, weight, score FROM zscored", ["zscored"]),
+    "stored_table_roundtrip": _with("SELECT mid, name, url FROM catalog", ["catalog"]),
     "format_click_log": _with(f"""
         SELECT event_id, '{PREFIX}' || CAST(uid AS VARCHAR) || '|' || CAST(mid AS VARCHAR) || '|'
                          || CAST(ts AS VARCHAR) AS line

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from encore.config import DEFAULT
 from encore.operators import factors, normalize, ratings, realtime, serving, similarity
+from encore.schemas import CATALOG_ITEM
 from encore.session import materialize, scratch_path
 from encore.sources import neighbours, sinks, tables, text
 from encore.streaming import stream
@@ -78,6 +79,14 @@ def q_stored_ratings_roundtrip(spark, d):
     return sinks.read_ratings(spark, path)
 
 
+def q_stored_table_roundtrip(spark, d):
+    """OP-03: a table is replaced by the next write, rows and columns."""
+    path = scratch_path(spark, "catalog")
+    sinks.write_table(tables.base_ratings(spark, d), path)
+    sinks.write_table(tables.catalog(spark, d), path)
+    return tables.read_table(spark, path.rsplit("/", 1)[0], path.rsplit("/", 1)[1], CATALOG_ITEM, suffix="")
+
+
 def q_format_click_log(spark, d):
     return text.format_click_log(tables.clicks(spark, d))
 
@@ -350,6 +359,7 @@ QUERIES = {
     "parse_catalog": q_parse_catalog,
     "catalog_projection": q_catalog_projection,
     "stored_ratings_roundtrip": q_stored_ratings_roundtrip,
+    "stored_table_roundtrip": q_stored_table_roundtrip,
     "format_click_log": q_format_click_log,
     "parse_click_log": q_parse_click_log,
     "click_log_rejects": q_click_log_rejects,

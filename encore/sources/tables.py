@@ -15,12 +15,12 @@ from encore.functions.columns import epoch_seconds
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               schema: StructType | None = None) -> DataFrame:
+               schema: StructType | None = None, suffix: str = ".parquet") -> DataFrame:
     """OP-05: typed load of a stored table (parquet)."""
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
-    return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return r.parquet(f"{sf_dir.rstrip('/')}/{name}{suffix}")
 
 
 def weights(spark: SparkSession, sf_dir: str) -> DataFrame:

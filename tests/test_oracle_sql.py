@@ -41,7 +41,7 @@ def con():
 
 def test_every_oracle_binds(con):
     sqls = E.oracle_sql()
-    assert len(ORACLE) == 36 and set(ORACLE) <= set(sqls) <= set(E.queries())
+    assert len(ORACLE) == 37 and set(ORACLE) <= set(sqls) <= set(E.queries())
     for name, sql in sqls.items():
         cols = [r[0] for r in con.sql(f"DESCRIBE {sql}").fetchall()]
         assert len(cols) == len(set(cols)), name
