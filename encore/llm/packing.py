@@ -23,8 +23,10 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from encore.functions.sequence import sequence_within
+from encore.llm.names import quoted
 from encore.llm.quality_rules import words
 from encore.session import materialize
 
@@ -72,14 +74,17 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
          budget: int = BUDGET, length_col: str | None = None) -> DataFrame:
     """``(id_col, n_tokens, bucket, bucket_len, batch, slot)`` of every row;
     ``length_col`` names a column with the lengths, words are counted without it."""
-    length = F.coalesce(F.col(length_col), F.lit(0)) if length_col else F.size(words(F.col(text_col)))
-    lengths = materialize(docs.select(F.col(id_col).alias("_id"), length.cast("long").alias("n_tokens")), "lengths")
+    length = (F.coalesce(docs[quoted(length_col)], F.lit(0)) if length_col
+              else F.size(words(docs[quoted(text_col)])))
+    # the row number parts rows of one id, so that no id fills a slice
+    lengths = materialize(docs.select(docs[quoted(id_col)].alias("_id"), length.cast("long").alias("n_tokens"),
+                                      F.monotonically_increasing_id().alias("_rid")), "lengths")
     # at most 512 + 256 an octave rows
     h = sorted(histogram(lengths).collect(), key=lambda r: r["top"])
     if not h:
-        empty = "n_tokens long, bucket int, bucket_len long, batch long, slot int"
+        known = T.StructType.fromDDL("n_tokens long, bucket int, bucket_len long, batch long, slot int")
         return docs.sparkSession.createDataFrame(
-            [], f"`{id_col}` {lengths.schema['_id'].dataType.simpleString()}, {empty}")
+            [], T.StructType([T.StructField(id_col, lengths.schema["_id"].dataType), *known.fields]))
     bounds = optimal_bounds(np.array([r["rows"] for r in h], float), np.array([r["total"] for r in h], float),
                             np.array([r["top"] for r in h], float), buckets)
     n = F.col("n_tokens")
@@ -87,9 +92,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket
     for i, b in enumerate(bounds):
         bucket = F.when(n <= b, i) if bucket is None else bucket.when(n <= b, i)
         bound = F.when(n <= b, F.lit(b)) if bound is None else bound.when(n <= b, F.lit(b))
-    placed = lengths.select("_id", "n_tokens", bucket.cast("int").alias("bucket"),
+    placed = lengths.select("_id", "_rid", "n_tokens", bucket.cast("int").alias("bucket"),
                             bound.cast("long").alias("bucket_len"), F.xxhash64("_id").alias("_h"))
-    rows = sequence_within(placed, "bucket", ["_h", "_id", "n_tokens"], out="_seq")
+    rows = sequence_within(placed, "bucket", ["_h", "_id", "n_tokens", "_rid"], out="_seq")
     capacity = F.greatest(F.floor(F.lit(budget) / F.greatest("bucket_len", F.lit(1))), F.lit(1))
     at = F.col("_seq") - 1
     return rows.select(F.col("_id").alias(id_col), "n_tokens", "bucket", "bucket_len",

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from encore.llm import bpe, exact_dedup, html_text, near_dedup, pii, quality_rules, shingles, url_filter
+from encore.llm import bpe, exact_dedup, html_text, near_dedup, packing, pii, quality_rules, shingles, url_filter
 
 STORY = "The story of the town is that it was by the river and for a long time it was the only one."
 
@@ -147,6 +147,17 @@ def test_a_million_characters_of_anything(spark):
     assert "555-0742" not in out[-1] and time.time() - began < 120
 
 
+# -- op5 ---------------------------------------------------------------------------
+
+def test_rows_without_an_id_do_not_meet_in_one_slice(spark):
+    docs = spark.range(60_000).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("my id"), F.lit("a b c").alias("t.x"))
+    rows = packing.pack(docs, "my id", "t.x", budget=30)
+    per = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert rows.count() == 60_000 and len(per) >= 6 and max(r["count"] for r in per) < 20_000
+    assert rows.groupBy("bucket", "batch").agg(F.countDistinct("slot").alias("u"), F.count("slot").alias("n")).where(
+        "u != n OR n > 10").count() == 0
+
+
 # -- op6 ----------------------------------------------------------------------------
 
 def test_article_links_headings_and_short_blocks_stay():
