@@ -1,4 +1,4 @@
-"""The six jobs, runnable with ``spark-submit`` (or ``python -m encore.jobs``):
+"""The seven jobs, runnable with ``spark-submit`` (or ``python -m encore.jobs``):
 
   load     interaction + catalog text -> z-scored rating table (OP-01/02/04/14/15)
            and catalog table (OP-03/09); rejects written beside them
@@ -6,6 +6,7 @@
   similar  rating table -> ALS item factors -> top-k similar items (OP-30/31/19/12/18)
   stream   click log directory or Kafka topic -> per-user real-time lists (OP-06/07/36/37/40)
   fold     rating table + click log -> rating table with the clicks counted (OP-28/15)
+  upsert   clicks of a log, as one batch, into a RatingTable in place (OP-28/14)
   views    rating table, catalog, click log, stream output -> per-user views (OP-24..27, 29, 41)
 
 Paths may be any file system Spark reads; the session's ``spark.checkpoint.dir``
@@ -23,14 +24,18 @@ from pyspark.sql import functions as F
 
 from encore.config import DEFAULT
 from encore.operators import factors, normalize, serving, similarity
+from encore.operators.ratings import RatingTable
 from encore.session import ensure_checkpoint_dir, materialize
 from encore.sources import neighbours, sinks, text
 from encore.streaming import stream
 
 
-def load(spark: SparkSession, ratings_text: str, catalog_text: str, out: str) -> None:
+def load(spark: SparkSession, ratings_text: str, catalog_text: str, out: str, table: bool = False) -> None:
     ok, bad = text.read_interactions(spark, ratings_text)
     ok = materialize(ok)                       # read twice by the z-score
+    if table:                                  # the form that clicks are added to in place
+        unique = ok.groupBy("uid", "mid").agg(F.sum("weight").alias("weight"))
+        RatingTable(spark, os.path.join(out, "rating_table")).create(unique)
     sinks.write_ratings(normalize.zscore(ok), os.path.join(out, "ratings"))
     bad.write.mode("overwrite").parquet(os.path.join(out, "rejects", "ratings"))
     items, bad_items = text.read_catalog(spark, catalog_text)
@@ -70,6 +75,12 @@ def fold(spark: SparkSession, ratings: str, log: str, out: str) -> None:
     sinks.write_ratings(normalize.zscore(now), os.path.join(out, "ratings"))
 
 
+def upsert(spark: SparkSession, table: str, log: str, batch: int) -> bool:
+    """Count the clicks of a log in a ``RatingTable``, as batch ``batch``; a batch
+    that is counted already changes nothing."""
+    return RatingTable(spark, table).apply(logged_clicks(spark, log), batch)
+
+
 def views(spark: SparkSession, ratings: str, catalog: str, log: str, recs: str, out: str,
           knobs=DEFAULT) -> None:
     """``ratings`` is the table after ``fold``, ``recs`` the stream's output."""
@@ -96,6 +107,7 @@ def main(argv=None) -> int:
     a.add_argument("--ratings-text", required=True)
     a.add_argument("--catalog-text", required=True)
     a.add_argument("--out", required=True)
+    a.add_argument("--table", action="store_true", help="also write OUT/rating_table, for upsert and stream")
     a = sub.add_parser("tune")
     a.add_argument("--ratings", required=True)
     a.add_argument("--out", required=True)
@@ -118,6 +130,10 @@ def main(argv=None) -> int:
     a = sub.add_parser("fold")
     for name in ("--ratings", "--clicks", "--out"):
         a.add_argument(name, required=True)
+    a = sub.add_parser("upsert")
+    a.add_argument("--ratings", required=True, help="a rating table of load --table")
+    a.add_argument("--clicks", required=True)
+    a.add_argument("--batch", type=int, required=True, help="number of this batch; batches come in order")
     a = sub.add_parser("views")
     for name in ("--ratings", "--catalog", "--clicks", "--recs", "--out"):
         a.add_argument(name, required=True)
@@ -128,13 +144,15 @@ def main(argv=None) -> int:
     spark = SparkSession.builder.appName(f"encore-{args.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
     if args.job == "load":
-        load(spark, args.ratings_text, args.catalog_text, args.out)
+        load(spark, args.ratings_text, args.catalog_text, args.out, args.table)
     elif args.job == "tune":
         tune(spark, args.ratings, args.out, args.ranks, args.regs)
     elif args.job == "similar":
         similar(spark, args.ratings, args.out)
     elif args.job == "fold":
         fold(spark, args.ratings, args.clicks, args.out)
+    elif args.job == "upsert":
+        print("counted" if upsert(spark, args.ratings, args.clicks, args.batch) else "was counted already")
     elif args.job == "views":
         views(spark, args.ratings, args.catalog, args.clicks, args.recs, args.out)
     else:

@@ -1,4 +1,4 @@
-"""Explicit schemas for every entity (no inference anywhere)."""
+"""Explicit schemas of the entities; stored tables are read with them."""
 
 from pyspark.sql import types as T
 

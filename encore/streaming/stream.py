@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from encore.config import DEFAULT
 from encore.operators import realtime
+from encore.operators.ratings import RatingTable
 from encore.sources.neighbours import Neighbours, buckets_in
 from encore.sources.text import parse_click_log
 from encore.streaming.sink import StreamSink, newest_heads, with_bucket
@@ -111,7 +112,7 @@ def score_batch(batch: DataFrame, batch_id: int, similar: Neighbours, stored_pat
         heads = heads.withColumn("event_id", F.col("uid").cast("long") * F.lit(1 << 31) + F.col("seq")).persist()
         try:
             counts = clicks.groupBy("uid", "mid").agg(F.count(F.lit(1)).alias("clicks"))
-            rated = (mine(spark.read.parquet(stored_path).select("uid", "mid"))
+            rated = (mine(_stored(spark, stored_path, users))
                      .unionByName(mine(sink.table("counts", of_batch).select("uid", "mid")))
                      .unionByName(counts.select("uid", "mid")).distinct()
                      .withColumn("from_seq", F.lit(0).cast("long")))
@@ -134,6 +135,15 @@ def score_batch(batch: DataFrame, batch_id: int, similar: Neighbours, stored_pat
         clicks.unpersist()
 
 
+def _stored(spark: SparkSession, path: str, users: DataFrame) -> DataFrame:
+    """``(uid, mid)`` of the stored ratings: of the users' buckets where the path is
+    a ``RatingTable``, else all of a plain table."""
+    table = RatingTable(spark, path)
+    if table.versions.latest()[0] >= 0:
+        return table.read(buckets_in(users, "uid", table.buckets)).select("uid", "mid")
+    return spark.read.schema("uid int, mid int").parquet(path)
+
+
 def run_stream(spark: SparkSession, clicks_dir: str | None, sims_path: str, stored_path: str,
                out: str, checkpoint: str | None = None, available_now: bool = False,
                knobs=DEFAULT, max_files_per_trigger: int | None = 1000,
@@ -142,7 +152,9 @@ def run_stream(spark: SparkSession, clicks_dir: str | None, sims_path: str, stor
     """Start the streaming recommender; returns the ``StreamingQuery``.
 
     ``sims_path`` is a table published by ``neighbours.publish`` (a new version
-    counts from the next batch on) or a plain long table.  ``checkpoint``
+    counts from the next batch on) or a plain long table; ``stored_path`` is a
+    ``RatingTable`` (its newest version is read, of the batch's users only) or a
+    plain table.  ``checkpoint``
     defaults to ``out/_checkpoint``.  ``available_now`` processes what is there
     and stops (tests, catch-up runs); otherwise a batch fires every
     ``knobs.batch_seconds`` (OP-36).  ``start="latest"`` leaves out log files

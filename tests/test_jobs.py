@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from encore import jobs
 from encore.operators import normalize, realtime
+from encore.operators.ratings import RatingTable
 from encore.sources import neighbours, sinks, tables, text
 from encore.streaming import stream
 
@@ -13,7 +14,14 @@ def test_load_tune_similar(spark, workdir, capsys):
     w = workdir
     text.interaction_lines(tables.weights(spark, SF001)).write.text(f"{w}/ratings_txt")
     text.catalog_lines(tables.catalog(spark, SF001)).write.text(f"{w}/catalog_txt")
-    jobs.load(spark, f"{w}/ratings_txt", f"{w}/catalog_txt", f"{w}/out")
+    jobs.load(spark, f"{w}/ratings_txt", f"{w}/catalog_txt", f"{w}/out", table=True)
+    clicks = tables.clicks(spark, SF001)
+    text.format_click_log(clicks).select(F.col("line").alias("value")).write.text(f"{w}/log")
+    table = RatingTable(spark, f"{w}/out/rating_table")
+    before = table.stats().first()
+    assert jobs.upsert(spark, f"{w}/out/rating_table", f"{w}/log", 0)
+    assert not jobs.upsert(spark, f"{w}/out/rating_table", f"{w}/log", 0)
+    assert table.stats().first().total == before.total + clicks.count()
     r = spark.read.parquet(f"{w}/out/ratings")
     assert r.count() == tables.weights(spark, SF001).count()
     assert r.where(F.col("score").isNull()).count() == 0

@@ -10,6 +10,7 @@ from pyspark.sql.utils import AnalysisException
 
 from conftest import SF01, rows
 from encore.operators import realtime
+from encore.operators.ratings import RatingTable
 from encore.plans.queries import stream_sims
 from encore.sources import neighbours, tables
 from encore.sources.text import format_click_log
@@ -90,6 +91,23 @@ def test_stream_equals_batch_over_two_sessions(spark, workdir):
         stream.run_stream(spark, *args, checkpoint=f"{w}/elsewhere", available_now=True)
 
 
+def test_a_rating_table_is_read_by_bucket_and_in_its_newest_version(spark, workdir):
+    args = _small(spark, workdir, pairs=[(2, m, 0.5) for m in (3, 4, 5)])
+    table = RatingTable(spark, f"{workdir}/table").create(
+        spark.createDataFrame([(u, 3, 1) for u in range(100)], "uid int, mid int, weight long"))
+    args = (*args[:3], f"{workdir}/table", args[4])
+    _log(workdir, "a.log", (1, 2, 5))
+    _run(*args)
+    got = lambda: sorted(r.mid for r in stream.latest_stream_recs(spark, f"{workdir}/out").collect())
+    assert got() == [4, 5]
+    table.apply(spark.createDataFrame([(1, 4)], "uid int, mid int"), 0)
+    _log(workdir, "b.log", (1, 2, 6))
+    _run(*args)
+    assert got() == [5]
+    one = stream._stored(spark, f"{workdir}/table", spark.createDataFrame([(1,)], "uid int"))
+    assert len(one.inputFiles()) < len(table.read().inputFiles()) / 4
+
+
 def test_rejects_side_output(spark, workdir):
     args = _small(spark, workdir)
     os.makedirs(f"{workdir}/in")
