@@ -3,7 +3,8 @@
 A writer puts its data into new folders and then commits a manifest that lists
 the folders of the new version.  A reader takes the newest manifest and reads
 exactly its folders, so it sees one version whole, whatever is being written.
-Folders that none of the last ``keep`` manifests lists are dropped.  There is one
+The last ``keep`` versions beside the newest stay readable; a folder that a
+version leaves out is dropped with the last version that lists it.  There is one
 writer a table; a second one that commits the same number is refused.
 """
 
@@ -14,7 +15,7 @@ import json
 from pyspark.sql import SparkSession
 
 FOLDER = "_versions"
-KEEP = 4                 # manifests that stay readable beside the newest
+KEEP = 4                 # versions that stay readable beside the newest
 
 
 class Versions:
@@ -67,14 +68,10 @@ class Versions:
 
     def _drop_old(self, keep: int) -> None:
         numbers = self.numbers()
-        old, live = numbers[:-keep - 1], numbers[-keep - 1:]
-        if not old:
-            return
-        used = {f for n in live for f in self.read(n)["folders"]}
-        for n in old:
-            for folder in self.read(n)["folders"]:
-                if folder not in used:
-                    fs, where = self._fs(folder)
-                    fs.delete(where, True)
+        for n, later in zip(numbers[:-keep - 1], numbers[1:]):
+            # a folder that a version leaves out never comes back
+            for folder in set(self.read(n)["folders"]) - set(self.read(later)["folders"]):
+                fs, where = self._fs(folder)
+                fs.delete(where, True)
             fs, where = self._fs(FOLDER, f"v{n:010d}.json")
             fs.delete(where, False)

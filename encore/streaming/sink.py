@@ -28,6 +28,7 @@ from encore.sources.versions import Versions
 
 LAYOUT = 2               # 1: a folder a batch without manifests
 FAN = 8                  # parts of a level that are folded into one
+KEEP = 30                # versions that stay readable: a minute of batches for a reader
 BUCKETS = 64
 TABLES = {
     "heads": "uid int, event_id long, ts long, seq long, queue array<int>, bucket int",
@@ -43,8 +44,8 @@ def newest_heads(heads: DataFrame) -> DataFrame:
 
 
 class StreamSink:
-    def __init__(self, spark: SparkSession, out: str, fan: int = FAN):
-        self.spark, self.out, self.fan = spark, out.rstrip("/"), fan
+    def __init__(self, spark: SparkSession, out: str, fan: int = FAN, keep: int = KEEP):
+        self.spark, self.out, self.fan, self.keep = spark, out.rstrip("/"), fan, keep
         self.versions = Versions(spark, out)
 
     def manifest(self) -> tuple[int, dict]:
@@ -84,7 +85,7 @@ class StreamSink:
         self.fold()
 
     def _commit(self, number: int, m: dict) -> None:
-        self.versions.commit(number, m | {"folders": [p["folder"] for p in m["parts"]]})
+        self.versions.commit(number, m | {"folders": [p["folder"] for p in m["parts"]]}, self.keep)
 
     def fold(self, everything: bool = False) -> int:
         """Fold full levels (or all parts into one); the number of parts left."""

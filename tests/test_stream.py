@@ -173,7 +173,7 @@ def test_a_hot_user_is_spread_over_tasks(spark):
 
 
 def test_store_folds_itself_and_readers_see_whole_versions(spark, workdir):
-    sink = store.StreamSink(spark, f"{workdir}/s", fan=3)
+    sink = store.StreamSink(spark, f"{workdir}/s", fan=3, keep=4)
     sink.open(f"{workdir}/c")
     rng, heads, counts, recs = random.Random(1), {}, {}, {}
     seen = []
