@@ -24,9 +24,10 @@ def heavy_keys(rows: DataFrame, key: str, most: int = MOST_KEYS) -> DataFrame:
 
 
 def join_by_key(rows: DataFrame, table: DataFrame, key: str, heavy: DataFrame, how: str = "inner") -> DataFrame:
-    """``rows`` joined (``inner``, ``left`` or ``left_semi``) with ``table``, which
-    has a bounded number of rows a key; ``heavy`` comes from ``heavy_keys``."""
+    """``rows`` joined (``inner`` or ``left_semi``) with ``table``, which has a
+    bounded number of rows a key; ``heavy`` comes from ``heavy_keys`` of these rows."""
+    if how not in ("inner", "left_semi"):
+        raise ValueError(f"no {how!r} join by heavy keys")
     listed = F.broadcast(heavy.select(key))
     light = rows.join(listed, key, "left_anti").join(table.join(listed, key, "left_anti"), key, how)
-    return light.unionByName(rows.join(listed, key, "left_semi")
-                             .join(F.broadcast(table.join(listed, key, "left_semi")), key, how))
+    return light.unionByName(rows.join(F.broadcast(table.join(listed, key, "left_semi")), key, how))

@@ -19,8 +19,9 @@
 5. Links become components by alternating large-star and small-star.
 
 Shuffles are keyed by set digest, band key, node or root; every group meets in
-a task only as a partial aggregate, and the joins may be split by AQE when a
-key is skewed.  Nothing but a few counts reaches the driver.
+a task only as a partial aggregate, the hubs of buckets that hold a thousandth of
+all rows are broadcast (at most a thousand buckets), and the other joins may be
+split by AQE when a key is skewed.  Nothing but a few counts reaches the driver.
 
 Defined results: null and empty texts have no shingle, link with nothing and
 are kept.  Null ids are allowed and lose to any other id of the component.  Of
@@ -39,8 +40,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from encore.llm.components import components
+from encore.llm.heavy import heavy_keys, join_by_key
+from encore.llm.names import quoted
 from encore.llm.shingles import shingle_set
 from encore.session import materialize
 
@@ -165,7 +169,7 @@ def _links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFr
                .select("_key", F.col("_node").alias("u"), F.col("_n").alias("_nu"),
                        F.col("_root").alias("_ru")))
         last = materialize(top.groupBy("_key").agg(F.max("u").alias("_last")), "hubs")
-        pairs = (state.join(top, "_key").where("_node > u AND _root != _ru")
+        pairs = (join_by_key(state, top, "_key", heavy_keys(state, "_key")).where("_node > u AND _root != _ru")
                  .where(F.lit(100) * F.least("_n", "_nu") >= F.lit(percent) * F.greatest("_n", "_nu"))
                  .select("u", F.col("_node").alias("v")).distinct())
         if tested:
@@ -261,10 +265,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     plus ``row``, a struct of the ``carry`` columns.  Texts are linked whose
     sets of ``size``-word shingles have a Jaccard similarity of ``percent``
     in a hundred or more."""
-    src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
-                      F.xxhash64(text_col).alias("_print"))
-    tagged = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"),
-                         F.struct(*[F.col(c) for c in (carry or [id_col])]).alias("row"),
+    own_id, own_text = docs[quoted(id_col)].alias("_id"), docs[quoted(text_col)].alias("_text")
+    src = docs.select(own_id, own_text, F.xxhash64(docs[quoted(text_col)]).alias("_print"))
+    tagged = docs.select(own_id, own_text,
+                         F.struct(*[docs[quoted(c)].alias(c) for c in (carry or [id_col])]).alias("row"),
                          F.monotonically_increasing_id().alias("_rid"))
     # the row id must mean the same row in the sketch and beside it: both are
     # written by one job, the sketch riding on the row it was made from
@@ -293,11 +297,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _sketched(tagged: DataFrame, size: int) -> DataFrame:
-    row_type = tagged.schema["row"].dataType
     rows = tagged.select("_rid", "_id", "_text", F.xxhash64("_text").alias("_print"), "row")
-    id_type = tagged.schema["_id"].dataType
-    schema = (f"_rid long, _n long, _set binary, _sig binary, _keys array<long>, "
-              f"_id {id_type.simpleString()}, _print long, row {row_type.simpleString()}")
+    known = T.StructType.fromDDL("_rid long, _n long, _set binary, _sig binary, _keys array<long>")
+    schema = T.StructType(known.fields + [T.StructField("_id", tagged.schema["_id"].dataType),
+                                          T.StructField("_print", T.LongType()),
+                                          T.StructField("row", tagged.schema["row"].dataType)])
     sketch = _sketch(size)
 
     def run(batches):
@@ -312,8 +316,8 @@ def _sketched(tagged: DataFrame, size: int) -> DataFrame:
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                 percent: int = 80) -> DataFrame:
     """The input rows that stay (one of each component), with all their columns."""
-    return (near_duplicates(docs, id_col, text_col, size, percent, carry=docs.columns)
-            .where("kept").select("row.*"))
+    kept = near_duplicates(docs, id_col, text_col, size, percent, carry=docs.columns).where("kept")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def op7_minhash_near_dedup(spark, d):
