@@ -58,7 +58,8 @@ def recent_rows(seq: DataFrame, k: int = DEFAULT.recent_k, targets: DataFrame |
            .withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
            .withColumn("seq", F.col("_src") + F.col("_d")))
     tgt = (targets if targets is not None else seq).select("event_id", "uid", "seq")
-    return tgt.join(fan, ["uid", "seq"]).select(
+    # both sides grow with the clicks: never a broadcast, whatever their files weigh
+    return tgt.join(fan.hint("merge"), ["uid", "seq"]).select(
         "event_id", "uid", "r_mid", (F.col("_d") + 1).cast("int").alias("r_pos"))
 
 
@@ -71,15 +72,35 @@ def rated_as_of(stored: DataFrame, seq: DataFrame) -> DataFrame:
             .agg(F.min("from_seq").alias("from_seq")))
 
 
+LIGHT = 200              # rated items of a user that travel with a click
+
+
 def click_candidates(targets: DataFrame, sims: DataFrame, rated: DataFrame,
-                     n: int = DEFAULT.candidate_n) -> DataFrame:
+                     n: int = DEFAULT.candidate_n, light: int = LIGHT) -> DataFrame:
     """OP-22 with OP-20: the clicked item's neighbours not yet rated, best
     ``n`` by similarity then item id (D7).  Unknown item -> no rows.
-    Output ``(event_id, uid, seq, cand, sim, cand_rank)``."""
+    Output ``(event_id, uid, seq, cand, sim, cand_rank)``.
+
+    A click takes the items that its user has rated with it, meets its item's list
+    once and leaves at most ``n`` rows, so no row is shuffled for each neighbour of
+    each click.  Users with more than ``light`` rated items, whose sets are too
+    large to go with every click, are looked up row by row."""
+    own = Window.partitionBy("uid").orderBy("mid")
+    few = (rated.withColumn("_at", F.row_number().over(own)).where(F.col("_at") <= light + 1)
+           .groupBy("uid").agg(F.collect_list(F.struct("mid", "from_seq")).alias("_rated")))
+    t = targets.select("event_id", "uid", "mid", "seq").join(few.hint("merge"), "uid", "left")
+    is_light = F.col("_rated").isNull() | (F.size("_rated") <= light)
+    taken = F.transform(F.filter("_rated", lambda r: r["mid"].isNotNull() & (r["from_seq"] <= F.col("seq"))),
+                        lambda r: r["mid"])
+    lists = (sims.groupBy("mid").agg(F.array_sort(F.collect_list(F.struct(
+        (-F.col("score")).alias("_s"), F.col("nb_mid").alias("cand"), F.col("score").alias("sim")))).alias("_nb")))
+    left = F.slice(F.filter("_nb", lambda e: ~F.coalesce(F.array_contains("_taken", e["cand"]), F.lit(False))), 1, n)
+    c = (t.where(is_light).select("event_id", "uid", "mid", "seq", taken.alias("_taken")).join(lists, "mid")
+         .select("event_id", "uid", "seq", F.inline(left)).select("event_id", "uid", "seq", "cand", "sim"))
     nb = sims.select("mid", F.col("nb_mid").alias("cand"), F.col("score").alias("sim"))
-    c = targets.select("event_id", "uid", "mid", "seq").join(nb, "mid")
-    r = rated.select(F.col("uid").alias("_u"), F.col("mid").alias("_m"), "from_seq")
-    c = c.join(r, (c.uid == r._u) & (c.cand == r._m) & (r.from_seq <= c.seq), "left_anti")
+    h = t.where(~is_light).select("event_id", "uid", "seq", "mid").join(nb, "mid").drop("mid")
+    r = rated.select(F.col("uid").alias("_u"), F.col("mid").alias("_m"), "from_seq").hint("merge")
+    c = c.unionByName(h.join(r, (h.uid == r._u) & (h.cand == r._m) & (r.from_seq <= h.seq), "left_anti"))
     w = Window.partitionBy("event_id").orderBy(F.col("sim").desc(), F.col("cand").asc())
     return (c.withColumn("cand_rank", F.row_number().over(w))
             .where(F.col("cand_rank") <= n)
@@ -108,7 +129,7 @@ def score_with_lists(cands: DataFrame, recent: DataFrame, neighbours: DataFrame,
     """``score_candidates`` on prepared inputs: ``recent`` is ``(event_id,
     _recent)`` and ``neighbours`` ``(mid, recs ARRAY<STRUCT<nb_mid, score>>)``."""
     lists = neighbours.select(F.col("mid").alias("cand"), F.map_from_entries("recs").alias("_sims"))
-    pairs = (cands.select("event_id", "uid", "cand").join(recent, "event_id")
+    pairs = (cands.select("event_id", "uid", "cand").join(recent.hint("merge"), "event_id")
              .join(lists, "cand", "left"))
     n = F.size("_recent").cast("double")
     total = F.aggregate("_recent", F.lit(0.0),
