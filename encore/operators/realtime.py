@@ -84,7 +84,8 @@ def click_candidates(targets: DataFrame, sims: DataFrame, rated: DataFrame,
     A click takes the items that its user has rated with it, meets its item's list
     once and leaves at most ``n`` rows, so no row is shuffled for each neighbour of
     each click.  Users with more than ``light`` rated items, whose sets are too
-    large to go with every click, are looked up row by row."""
+    large to go with every click, are looked up row by row.  Merge joins throughout:
+    clicks compress so well that they would be broadcast by their measured size."""
     own = Window.partitionBy("uid").orderBy("mid")
     few = (rated.withColumn("_at", F.row_number().over(own)).where(F.col("_at") <= light + 1)
            .groupBy("uid").agg(F.collect_list(F.struct("mid", "from_seq")).alias("_rated")))
@@ -95,10 +96,10 @@ def click_candidates(targets: DataFrame, sims: DataFrame, rated: DataFrame,
     lists = (sims.groupBy("mid").agg(F.array_sort(F.collect_list(F.struct(
         (-F.col("score")).alias("_s"), F.col("nb_mid").alias("cand"), F.col("score").alias("sim")))).alias("_nb")))
     left = F.slice(F.filter("_nb", lambda e: ~F.coalesce(F.array_contains("_taken", e["cand"]), F.lit(False))), 1, n)
-    c = (t.where(is_light).select("event_id", "uid", "mid", "seq", taken.alias("_taken")).join(lists, "mid")
+    c = (t.where(is_light).select("event_id", "uid", "mid", "seq", taken.alias("_taken")).join(lists.hint("merge"), "mid")
          .select("event_id", "uid", "seq", F.inline(left)).select("event_id", "uid", "seq", "cand", "sim"))
     nb = sims.select("mid", F.col("nb_mid").alias("cand"), F.col("score").alias("sim"))
-    h = t.where(~is_light).select("event_id", "uid", "seq", "mid").join(nb, "mid").drop("mid")
+    h = t.where(~is_light).select("event_id", "uid", "seq", "mid").join(nb.hint("merge"), "mid").drop("mid")
     r = rated.select(F.col("uid").alias("_u"), F.col("mid").alias("_m"), "from_seq").hint("merge")
     c = c.unionByName(h.join(r, (h.uid == r._u) & (h.cand == r._m) & (r.from_seq <= h.seq), "left_anti"))
     w = Window.partitionBy("event_id").orderBy(F.col("sim").desc(), F.col("cand").asc())
